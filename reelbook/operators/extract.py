@@ -86,9 +86,7 @@ def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     )
 
 
-def extract_pages(
-    pages: DataFrame, videos: bool = True, url_base: str = VIDEO_URL_BASE
-) -> DataFrame:
+def extract_pages(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     """One row per page of ``pages(path, html, time_created)``.
 
     Columns: ``path``, ``time_created``, ``path_username``, ``fault`` (why the page
@@ -97,9 +95,27 @@ def extract_pages(
     out), ``json_videos`` (their number) and ``lost_posts``.
 
     The markup is parsed only for pages that need it: other pages hand the UDF a
-    NULL, in the same pass over the data. ``videos=False`` leaves the videos out,
-    and with them the parsing of pages that lack only videos.
+    NULL, in the same pass over the data.
     """
+    return sealed(_extract(pages, url_base=url_base), *PAGE_KEYS)
+
+
+def sealed(rows: DataFrame, *keys: str) -> DataFrame:
+    """The same rows behind a generator, which filters of the caller do not pass.
+
+    A filter on a computed column would be rewritten in terms of the page text,
+    repeating every step in between. Filters on ``keys`` still reach the scan.
+    """
+    others = [name for name in rows.columns if name not in keys]
+    packed = rows.select(*keys, F.explode(F.array(F.struct(*others))).alias("sealed"))
+    return packed.select(*keys, "sealed.*")
+
+
+def _extract(
+    pages: DataFrame, videos: bool = True, url_base: str = VIDEO_URL_BASE
+) -> DataFrame:
+    """:func:`extract_pages` with prunable columns; ``videos=False`` leaves the videos
+    out, and with them the parsing of pages that lack only videos."""
     read = from_json(pages, url_base)
     json_username = F.col("json_profile.username")
     no_json_profile = F.col("json_profile").isNull() | F.coalesce(
@@ -184,20 +200,26 @@ def profile_rows(extracted: DataFrame, *more: str) -> DataFrame:
     return rows.select(*more, "p.*")
 
 
+def any_of(column: str) -> Column:
+    """An array column to explode. As a plain column it would get a filter on its
+    size, which is pushed down like any other."""
+    return F.when(F.size(column) > 0, F.col(column))
+
+
 def video_rows(extracted: DataFrame, *more: str, position: bool = False) -> DataFrame:
     """Video records of :func:`extract_pages`; ``position`` adds the place in the page."""
-    rows = extracted.select(*more, F.posexplode("videos").alias("position", "v"))
+    rows = extracted.select(*more, F.posexplode(any_of("videos")).alias("position", "v"))
     return rows.select(*more, *(["position"] if position else []), "v.*")
 
 
 def extract_profiles(pages: DataFrame) -> DataFrame:
     """One profile row per usable page."""
-    return profile_rows(extract_pages(pages, videos=False))
+    return profile_rows(_extract(pages, videos=False))
 
 
 def extract_videos(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     """All video rows of all usable pages, repeated URLs included."""
-    return video_rows(extract_pages(pages, url_base=url_base))
+    return video_rows(_extract(pages, url_base=url_base))
 
 
 def json_profiles(pages: DataFrame) -> DataFrame:
@@ -216,7 +238,7 @@ def json_profiles(pages: DataFrame) -> DataFrame:
 
 def json_videos(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     """Videos as the JSON document gives them, before any fallback."""
-    rows = from_json(pages, url_base).select("path", F.posexplode("json_videos"))
+    rows = from_json(pages, url_base).select("path", F.posexplode(any_of("json_videos")))
     return rows.select("path", F.col("pos").alias("position"), "col.*").drop("fits")
 
 
@@ -226,10 +248,9 @@ def html_profiles(pages: DataFrame) -> DataFrame:
         "marked", dom.marked_nodes(F.col("page"))
     )
     steps = read.withColumn("steps", dom.profile_steps(F.col("page"), F.col("marked")))
-    profile = dom.profile(F.col("steps"))
-    return steps.withColumn("p", profile).select(
-        "path", F.col("steps.failed").alias("failed_step"), "p.*"
-    )
+    profile = steps.withColumn("p", dom.profile(F.col("steps")))
+    rows = profile.select("path", F.col("steps.failed").alias("failed_step"), "p.*")
+    return sealed(rows, "path")
 
 
 def html_videos(pages: DataFrame) -> DataFrame:
@@ -237,5 +258,6 @@ def html_videos(pages: DataFrame) -> DataFrame:
     read = pages.withColumn("page", dom.creator_nodes(F.col("html"))).withColumn(
         "marked", dom.marked_nodes(F.col("page"))
     )
-    rows = read.select("path", F.posexplode(dom.videos(F.col("page"), F.col("marked"))))
+    videos = read.withColumn("videos", dom.videos(F.col("page"), F.col("marked")))
+    rows = videos.select("path", F.posexplode(any_of("videos")))
     return rows.select("path", F.col("pos").alias("position"), "col.*").drop("fits")

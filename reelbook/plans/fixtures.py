@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from reelbook.functions import text as tx
 from reelbook.schemas import SCRIPT_ID
 from reelbook.session import scratch_dir
+from reelbook.sources import landing
 
 POSTS_PER_PAGE = 10
 SHAPES = 12
 
-_landed: dict[tuple[str, str, str], str] = {}
+_landed: dict[tuple[str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -239,8 +240,16 @@ def _html(shape: Column, username: Column) -> Column:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing table of rendered pages, written on first use."""
-    return _landing(spark, sf_dir, "pages", render_pages)
+    """The landing table of rendered pages."""
+    return landing.read_table(spark, landed_path(spark, sf_dir))
+
+
+#: Arrival numbers are a permutation of the numbers below this prime.
+ARRIVALS = 1000000007
+
+
+def _arrival(number: Column) -> Column:
+    return number * 387420489 % ARRIVALS
 
 
 def scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +257,7 @@ def scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     username = F.concat(F.lit("user"), F.col("user_id"))
     every_tenth = F.col("event_id") % 10 == 0
     return table(spark, sf_dir, "events").select(
-        ((F.col("event_id") * 7919) % 100003).alias("arrival"),
+        _arrival(F.col("event_id")).alias("arrival"),
         username.alias("username"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("event_type").alias("actual_name"),
@@ -265,9 +274,9 @@ def scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def video_scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as observations of videos: one video per order and part pair of scrapes."""
+    """Line items as observations of videos: a video is a part of a supplier."""
     return table(spark, sf_dir, "lineitem").select(
-        ((F.col("l_orderkey") * 7919 + F.col("l_linenumber")) % 1000003).alias("arrival"),
+        _arrival(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("arrival"),
         F.concat(
             F.lit("https://host.example/@user"), F.col("l_suppkey"),
             F.lit("/video/"), F.col("l_partkey"),
@@ -282,10 +291,11 @@ def video_scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landing(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+def landed_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the landing table of rendered pages, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
-        path = scratch_dir(spark, name)
-        build(spark, sf_dir).write.parquet(path)
+        path = scratch_dir(spark, "pages")
+        render_pages(spark, sf_dir).write.parquet(path)
         _landed[key] = path
-    return spark.read.parquet(_landed[key])
+    return _landed[key]
