@@ -40,11 +40,11 @@ def kind(value: Column) -> Column:
 def truthy(value: Column) -> Column:
     """False for missing, null, false, zero, empty text, empty array and empty object."""
     text = text_of(value)
-    is_text = kind(value) == "STRING"
-    empty = F.when(is_text, text == "").otherwise(
-        text.isin("false", "[]", "{}") | F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    # Only text that may stand for one of them needs a look at the kind.
+    doubtful = text.rlike(r"^(|false|\[\]|\{\}|-?0[.0]*(E.*)?)$")
+    return F.when(text.isNull(), F.lit(False)).when(~doubtful, F.lit(True)).otherwise(
+        (kind(value) == "STRING") & (text != "")
     )
-    return F.coalesce(~empty, F.lit(False))
 
 
 def default_if_missing(value: Column, default: Any, sql_type: str) -> Column:

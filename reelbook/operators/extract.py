@@ -77,7 +77,10 @@ def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     listed = read.withColumn(
         "posts",
         F.when(usable, jsondoc.posts(F.col("doc"), F.col("body"), F.col("detail"), stats)),
-    ).withColumn("readable", jsondoc.readable_prefix(F.col("posts")))
+    )
+    listed = listed.withColumn("given", jsondoc.readings(F.col("posts"))).withColumn(
+        "readable", jsondoc.readable_prefix(F.col("given"))
+    )
     return listed.withColumn(
         "lost_posts", F.coalesce(F.size("posts") - F.size("readable"), F.lit(0))
     ).withColumn(

@@ -13,6 +13,7 @@ from reelbook.schemas import (
     PROFILE_DEFAULTS,
     SCOPE_KEY,
     SCRIPT_ID,
+    VIDEO_COLUMNS,
     VIDEO_DEFAULTS,
     VIDEO_URL_BASE,
 )
@@ -25,11 +26,9 @@ _OPAQUE = (
     r"(?is)<!--.*?--\s*>"
     rf"|<(script|style)(?=[\s/>]){_ATTRS}(?:(?<=/)>|>.*?</\s*\1\s*>)"
 )
-_WANTED = (
-    r"(?is)^<script(?=[\s/>])"
-    r"""(?=(?:[^>"']++|"[^"]*+"|'[^']*+')*?[\s"'/]id\s*=\s*"""
-    rf"""(?:"{SCRIPT_ID}"|'{SCRIPT_ID}'|{SCRIPT_ID}(?=[\s/>])))"""
-)
+_START = rf"(?is)^<script(?=[\s/>]){_ATTRS}"
+_ATTR = r"""[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?"""
+_WANTED = rf"""(?i)^id\s*=\s*(?:"{SCRIPT_ID}"|'{SCRIPT_ID}'|{SCRIPT_ID})$"""
 _BODY = rf"(?is)^<script{_ATTRS}>(.*)</\s*script\s*>$"
 
 
@@ -40,7 +39,14 @@ def script_body(html: Column) -> Column:
     expressions.
     """
     blocks = F.regexp_extract_all(html, F.lit(_OPAQUE), F.lit(0))
-    first = F.get(F.filter(blocks, lambda block: F.rlike(block, F.lit(_WANTED))), F.lit(0))
+
+    def wanted(block: Column) -> Column:
+        attrs = F.regexp_extract_all(F.regexp_extract(block, _START, 1), F.lit(_ATTR), F.lit(0))
+        return F.contains(block, F.lit(SCRIPT_ID)) & F.exists(
+            attrs, lambda attr: F.rlike(attr, F.lit(_WANTED))
+        )
+
+    first = F.get(F.filter(blocks, wanted), F.lit(0))
     body = F.regexp_extract(first, _BODY, 2)
     return F.when(F.contains(html, F.lit(SCRIPT_ID)) & (body != ""), body)
 
@@ -195,77 +201,88 @@ def item_module_posts(body: Column) -> Column:
     return F.transform(values, lambda post: F.try_variant_get(post, "$", _POST))
 
 
-def _epoch(value: Column) -> Column:
-    """Seconds of a createTime that can be converted, else NULL."""
-    seconds = F.try_variant_get(value, "$", "bigint")
-    return F.when(seconds.between(tx.MIN_EPOCH, tx.MAX_EPOCH), seconds)
+def readings(rows: Column) -> Column:
+    """What each post gives, each part read once; later steps use plain fields.
 
+    Lambdas are evaluated as written, without sharing equal parts, so a value
+    needed more than once is bound to a field first.
+    """
 
-def _has_no_time(value: Column) -> Column:
-    """createTime missing, or given as the default text itself."""
-    return value.isNull() | F.coalesce(
-        vr.text_of(value) == VIDEO_DEFAULTS["create_time"], F.lit(False)
+    def read(post: Column) -> Column:
+        return F.struct(
+            post.isNull().alias("no_post"),
+            vr.truthy(post["id"]).alias("has_id"),
+            vr.text_of(post["id"]).alias("id"),
+            post["desc"].alias("desc"),
+            post["createTime"].isNotNull().alias("has_time"),
+            vr.text_of(post["createTime"]).alias("time_text"),
+            F.try_variant_get(post["createTime"], "$", "bigint").alias("seconds"),
+            post["video"].isNotNull().alias("has_video"),
+            vr.object_of(post["video"], "cover").alias("video"),
+            post["stats"].isNotNull().alias("has_stats"),
+            vr.object_of(
+                post["stats"], "playCount", "diggCount", "commentCount", "shareCount"
+            ).alias("stats"),
+        )
+
+    return F.transform(rows, read)
+
+
+def _is_timed(reading: Column) -> Column:
+    """Whether there is a createTime to convert: given, and not the default text itself."""
+    return reading["has_time"] & ~F.coalesce(
+        reading["time_text"] == VIDEO_DEFAULTS["create_time"], F.lit(False)
     )
 
 
-def breaks_list(post: Column) -> Column:
+def breaks_list(reading: Column) -> Column:
     """Whether reading this post ends the reading of the whole list."""
+    in_range = F.coalesce(reading["seconds"].between(tx.MIN_EPOCH, tx.MAX_EPOCH), F.lit(False))
     unreadable = (
-        vr.is_wrong_object(post["stats"])
-        | vr.is_wrong_object(post["video"])
-        | (~_has_no_time(post["createTime"]) & _epoch(post["createTime"]).isNull())
+        (reading["has_stats"] & reading["stats"].isNull())
+        | (reading["has_video"] & reading["video"].isNull())
+        | (_is_timed(reading) & ~in_range)
     )
-    return post.isNull() | (vr.truthy(post["id"]) & unreadable)
+    return reading["no_post"] | (reading["has_id"] & unreadable)
 
 
-def readable_prefix(rows: Column) -> Column:
-    """Posts before the first one that breaks the list."""
-    first_bad = F.array_position(F.transform(rows, breaks_list), F.lit(True)).cast("int")
-    return F.when(first_bad == 0, rows).otherwise(F.slice(rows, F.lit(1), first_bad - 1))
+def readable_prefix(given: Column) -> Column:
+    """Readings before the first one that breaks the list."""
+    first_bad = F.array_position(F.transform(given, breaks_list), F.lit(True)).cast("int")
+    return F.when(first_bad == 0, given).otherwise(F.slice(given, F.lit(1), first_bad - 1))
 
 
-def videos(rows: Column, username: Column, url_base: str = VIDEO_URL_BASE) -> Column:
+def videos(given: Column, username: Column, url_base: str = VIDEO_URL_BASE) -> Column:
     """Video rows of readable posts; posts without an id are skipped.
 
     ``fits`` tells whether all values of a row can be loaded.
     """
 
-    def sources(post: Column) -> dict[str, tuple[Column, str]]:
-        stats = vr.object_of(post["stats"], "playCount", "diggCount", "commentCount", "shareCount")
-        return {
+    def row(reading: Column) -> Column:
+        stats = reading["stats"]
+        sources = {
             "views": (stats["playCount"], "bigint"),
-            "thumbnail": (vr.object_of(post["video"], "cover")["cover"], "string"),
-            "description": (post["desc"], "string"),
+            "thumbnail": (reading["video"]["cover"], "string"),
+            "description": (reading["desc"], "string"),
             "like_count": (stats["diggCount"], "bigint"),
             "comment_count": (stats["commentCount"], "bigint"),
             "share_count": (stats["shareCount"], "bigint"),
         }
-
-    def row(post: Column) -> Column:
-        given = sources(post)
-        field = {
-            name: vr.default_if_missing(value, VIDEO_DEFAULTS[name], sql_type).alias(name)
-            for name, (value, sql_type) in given.items()
+        fields = {
+            name: vr.default_if_missing(value, VIDEO_DEFAULTS[name], sql_type)
+            for name, (value, sql_type) in sources.items()
         }
+        fields["url"] = F.concat(
+            F.lit(f"{url_base}/@"), username, F.lit("/video/"), reading["id"]
+        )
+        fields["create_time"] = F.when(
+            _is_timed(reading), tx.epoch_to_iso(reading["seconds"])
+        ).otherwise(VIDEO_DEFAULTS["create_time"])
         fits = F.lit(True)
-        for value, sql_type in given.values():
+        for value, sql_type in sources.values():
             fits = fits & vr.loads_as(value, sql_type)
-        create_time = F.when(
-            _has_no_time(post["createTime"]), F.lit(VIDEO_DEFAULTS["create_time"])
-        ).otherwise(tx.epoch_to_iso(_epoch(post["createTime"])))
-        url = F.concat(
-            F.lit(f"{url_base}/@"), username, F.lit("/video/"), vr.text_of(post["id"])
-        )
         return F.struct(
-            url.alias("url"),
-            field["views"],
-            field["thumbnail"],
-            field["description"],
-            create_time.alias("create_time"),
-            field["like_count"],
-            field["comment_count"],
-            field["share_count"],
-            fits.alias("fits"),
+            *[fields[name].alias(name) for name in VIDEO_COLUMNS], fits.alias("fits")
         )
 
-    return F.transform(F.filter(rows, lambda post: vr.truthy(post["id"])), row)
+    return F.transform(F.filter(given, lambda reading: reading["has_id"]), row)

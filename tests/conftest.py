@@ -1,0 +1,71 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from reelbook.session import configure  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", str(shared / "work"))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield configure(session)
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def make_pages(spark):
+    """Pages from ``{path: html}`` or a list of html texts (paths ``profiles/p<i>/t.html``)."""
+
+    def make(items, created="2024-05-01 10:00:00"):
+        if not isinstance(items, dict):
+            items = {f"profiles/p{i}/t.html": html for i, html in enumerate(items)}
+        rows = [(path, html) for path, html in items.items()]
+        frame = spark.createDataFrame(rows, "path string, html string")
+        return frame.selectExpr("*", f"timestamp'{created}' AS time_created")
+
+    return make
+
+
+def _html_of(item):
+    """The page a test reads: its ``page`` mark, or its ``html`` parameter."""
+    mark = item.get_closest_marker("page")
+    if mark:
+        return mark.args[0]
+    return getattr(item, "callspec", None) and item.callspec.params.get("html")
+
+
+@pytest.fixture(scope="module")
+def extracted(request, make_pages):
+    """All pages of a module's tests, extracted together."""
+    from reelbook import extract_pages
+
+    items = [item for item in request.session.items if item.module is request.module]
+    texts = sorted({_html_of(item) for item in items if "row" in item.fixturenames})
+    rows = extract_pages(make_pages(texts)).collect()
+    return {texts[int(row.path.split("/")[1][1:])]: row for row in rows}
+
+
+@pytest.fixture
+def row(request, extracted):
+    return extracted[_html_of(request.node)]
+
+
+def pytest_configure(config):
+    config.addinivalue_line("markers", "page(html): the page a test reads")
