@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reelbook.schemas import VIDEO_DEFAULTS
+
 
 def followers_per_creator(profiles: DataFrame) -> DataFrame:
     """Followers of each creator, most first."""
@@ -43,13 +45,14 @@ def followers_likes_correlation(profiles: DataFrame) -> DataFrame:
 
 def create_date(create_time: Column) -> Column:
     """Day of an ISO create time; NULL for the default text."""
-    return F.try_to_timestamp(create_time, F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("date")
+    return F.substring(create_time, 1, 10).try_cast("date")
 
 
 def trend_by_day(videos: DataFrame) -> DataFrame:
     """Videos, views and likes by day of creation; videos without a time are left out."""
     return (
-        videos.select(create_date(F.col("create_time")).alias("day"), "views", "like_count")
+        videos.filter(F.col("create_time") != VIDEO_DEFAULTS["create_time"])
+        .select(create_date(F.col("create_time")).alias("day"), "views", "like_count")
         .filter(F.col("day").isNotNull())
         .groupBy("day")
         .agg(

@@ -7,6 +7,9 @@ pushed down and run the JSON parse or the markup UDF a second time.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,40 +28,57 @@ PAGE_KEYS = ("path", "time_created")
 _PROFILE_FIELDS = [name for name in PROFILE_COLUMNS if name != "scrape_timestamp"]
 
 
+@functools.cache
+def over(build: Callable[..., Column], *names: str, **options) -> Column:
+    """``build`` over columns of these names, built once: a stream plans every batch,
+    and building the large expressions takes longer than planning them."""
+    return build(*[F.col(name) for name in names], **options)
+
+
 def read_document(pages: DataFrame) -> DataFrame:
     """Add the parsed document of each page and ``fault``, why a page cannot be used.
 
-    ``source`` columns: ``gate`` (the document holds a user detail), ``detail``,
+    Further columns: ``gate`` (the document holds a user detail), ``detail``,
     ``user``, ``stats`` and ``link`` (VARIANT parts, see :mod:`jsondoc`).
     """
-    located = pages.withColumn("path_username", tx.path_username(F.col("path"))).withColumn(
-        "script", jsondoc.script_body(F.col("html"))
-    )
-    parsed = located.withColumn("body", tx.strip(F.col("script"))).withColumn(
-        "doc", jsondoc.parse(F.col("body"))
-    )
-    gated = parsed.withColumn("whole", jsondoc.is_whole(F.col("doc"), F.col("body"))).withColumn(
-        "gate", F.when(F.col("whole"), jsondoc.gate(F.col("doc")))
+    return (
+        pages.withColumns(
+            {
+                "path_username": tx.path_username(F.col("path")),
+                "script": over(jsondoc.script_body, "html"),
+            }
+        )
+        .withColumn("body", over(tx.strip, "script"))
+        .withColumn("doc", over(jsondoc.parse, "body"))
+        .withColumn("whole", over(jsondoc.is_whole, "doc", "body"))
+        .withColumn("gate", F.when(F.col("whole"), over(jsondoc.gate, "doc")))
+        .withColumn("detail", F.when(F.col("gate"), over(jsondoc.detail_parts, "doc")))
+        .withColumn("info", over(jsondoc.info_parts, "detail.userInfo"))
+        .withColumns(
+            {
+                "user": over(jsondoc.user_parts, "info.user"),
+                "stats": over(jsondoc.stats_parts, "info.stats"),
+            }
+        )
+        .withColumns(
+            {"link": over(jsondoc.link_of, "user.bioLink"), "fault": over(_document_fault)}
+        )
     )
-    detailed = gated.withColumn("detail", F.when(F.col("gate"), jsondoc.detail_parts(F.col("doc"))))
-    info = F.col("detail.userInfo")
-    opened = detailed.withColumn("info", vr.object_of(info, "user", "stats"))
-    users = opened.withColumn("user", jsondoc.user_parts(F.col("info.user"))).withColumn(
-        "stats", jsondoc.stats_parts(F.col("info.stats"))
-    )
-    linked = users.withColumn("link", vr.object_of(F.col("user.bioLink"), "link")["link"])
-    fault = (
-        F.when(F.col("html").isNull(), "invalid_utf8")
-        .when(F.col("path_username").isNull(), "path_without_folder")
-        .when(F.col("script").isNotNull() & ~F.col("whole"), "malformed_json")
-        .when(F.col("script").isNotNull() & F.col("gate").isNull(), "document_kind")
-        .when(F.col("gate") & F.col("detail").isNull(), "user_detail_kind")
-        .when(info.isNotNull() & F.col("info").isNull(), "user_info_kind")
-        .when(F.col("info.user").isNotNull() & F.col("user").isNull(), "user_kind")
-        .when(F.col("info.stats").isNotNull() & F.col("stats").isNull(), "stats_kind")
-        .when(vr.is_wrong_object(F.col("user.bioLink")), "bio_link_kind")
+
+
+def _document_fault() -> Column:
+    c = F.col
+    return (
+        F.when(c("html").isNull(), "invalid_utf8")
+        .when(c("path_username").isNull(), "path_without_folder")
+        .when(c("script").isNotNull() & ~c("whole"), "malformed_json")
+        .when(c("script").isNotNull() & c("gate").isNull(), "document_kind")
+        .when(c("gate") & c("detail").isNull(), "user_detail_kind")
+        .when(c("detail.userInfo").isNotNull() & c("info").isNull(), "user_info_kind")
+        .when(c("info.user").isNotNull() & c("user").isNull(), "user_kind")
+        .when(c("info.stats").isNotNull() & c("stats").isNull(), "stats_kind")
+        .when(vr.is_wrong_object(c("user.bioLink")), "bio_link_kind")
     )
-    return linked.withColumn("fault", fault)
 
 
 def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
@@ -68,24 +88,27 @@ def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     holds only defaults where the document has no user info. ``lost_posts`` are
     the posts from the first unreadable one on.
     """
-    user, stats, link = F.col("user"), F.col("stats"), F.col("link")
+    parts = ("user", "stats", "link")
     usable = F.col("fault").isNull() & F.col("gate")
-    read = read_document(pages).withColumn(
-        "json_profile", F.when(usable, jsondoc.profile(user, stats, link))
-    )
-    read = read.withColumn("json_loads", F.when(usable, jsondoc.profile_loads(user, stats, link)))
-    listed = read.withColumn(
-        "posts",
-        F.when(usable, jsondoc.posts(F.col("doc"), F.col("body"), F.col("detail"), stats)),
-    )
-    listed = listed.withColumn("given", jsondoc.readings(F.col("posts"))).withColumn(
-        "readable", jsondoc.readable_prefix(F.col("given"))
-    )
-    return listed.withColumn(
-        "lost_posts", F.coalesce(F.size("posts") - F.size("readable"), F.lit(0))
-    ).withColumn(
-        "json_videos",
-        jsondoc.videos(F.col("readable"), F.col("json_profile.username"), url_base),
+    return (
+        read_document(pages)
+        .withColumns(
+            {
+                "json_profile": F.when(usable, over(jsondoc.profile, *parts)),
+                "json_loads": F.when(usable, over(jsondoc.profile_loads, *parts)),
+                "posts": F.when(usable, over(jsondoc.posts, "doc", "body", "detail", "stats")),
+            }
+        )
+        .withColumn("given", over(jsondoc.readings, "posts"))
+        .withColumn("readable", over(jsondoc.readable_prefix, "given"))
+        .withColumns(
+            {
+                "lost_posts": F.coalesce(F.size("posts") - F.size("readable"), F.lit(0)),
+                "json_videos": over(
+                    jsondoc.videos, "readable", "json_profile.username", url_base=url_base
+                ),
+            }
+        )
     )
 
 
@@ -94,8 +117,8 @@ def extract_pages(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame
 
     Columns: ``path``, ``time_created``, ``path_username``, ``fault`` (why the page
     gives nothing, else NULL), ``profile_source`` and ``video_source`` (``json`` or
-    ``html``), ``profile``, ``videos``, ``video_fault`` (why the videos are left
-    out), ``json_videos`` (their number) and ``lost_posts``.
+    ``html``), ``profile``, ``videos``, ``video_fault`` (why videos are left out),
+    ``json_videos`` (their number) and ``lost_posts``.
 
     The markup is parsed only for pages that need it: other pages hand the UDF a
     NULL, in the same pass over the data.
@@ -119,74 +142,83 @@ def _extract(
 ) -> DataFrame:
     """:func:`extract_pages` with prunable columns; ``videos=False`` leaves the videos
     out, and with them the parsing of pages that lack only videos."""
-    read = from_json(pages, url_base)
-    json_username = F.col("json_profile.username")
-    no_json_profile = F.col("json_profile").isNull() | F.coalesce(
-        json_username == PROFILE_DEFAULTS[PROFILE_KEY], F.lit(False)
+    c = F.col
+    no_json_profile = c("json_profile").isNull() | F.coalesce(
+        c(f"json_profile.{PROFILE_KEY}") == PROFILE_DEFAULTS[PROFILE_KEY], F.lit(False)
     )
     no_json_videos = F.coalesce(F.size("json_videos"), F.lit(0)) == 0
-    flagged = read.withColumns(
-        {
-            "ask_profile": F.col("fault").isNull() & no_json_profile,
-            "ask_videos": F.col("fault").isNull() & no_json_videos & F.lit(videos),
-        }
-    )
-    need = F.col("ask_profile") | F.col("ask_videos")
-    marked = flagged.withColumn(
-        "page", dom.creator_nodes(F.when(need, F.col("html")))
-    ).withColumn("marked", dom.marked_nodes(F.col("page")))
-    selected = marked.withColumns(
-        {
-            "steps": F.when(F.col("ask_profile"), dom.profile_steps(F.col("page"), F.col("marked"))),
-            "html_videos": F.when(F.col("ask_videos"), dom.videos(F.col("page"), F.col("marked"))),
-        }
-    )
-    chosen = selected.withColumns(
-        {
-            "profile": F.when(F.col("ask_profile"), dom.profile(F.col("steps"))).otherwise(
-                F.col("json_profile")
-            ),
-            "loads": F.when(F.col("ask_profile"), dom.profile_loads(F.col("steps"))).otherwise(
-                F.col("json_loads")
-            ),
-            "videos": F.when(F.col("ask_videos"), F.col("html_videos")).otherwise(
-                F.col("json_videos")
-            ),
-        }
+    need = c("ask_profile") | c("ask_videos")
+    good = c("fault").isNull()
+    keep_videos = good & ~F.coalesce(c("video_fault") == "video_value_kind", F.lit(False))
+    source = lambda asked: F.when(good, F.when(c(asked), "html").otherwise("json"))
+    return (
+        from_json(pages, url_base)
+        .withColumns(
+            {
+                "ask_profile": good & no_json_profile,
+                "ask_videos": good & no_json_videos & F.lit(videos),
+            }
+        )
+        .withColumn("page", dom.creator_nodes(F.when(need, c("html"))))
+        .withColumn("marked", over(dom.marked_nodes, "page"))
+        .withColumns(
+            {
+                "steps": F.when(c("ask_profile"), over(dom.profile_steps, "page", "marked")),
+                "videos": F.when(c("ask_videos"), over(dom.videos, "page", "marked")).otherwise(
+                    c("json_videos")
+                ),
+            }
+        )
+        .withColumns(
+            {
+                "profile": F.when(c("ask_profile"), over(dom.profile, "steps")).otherwise(
+                    c("json_profile")
+                ),
+                "loads": F.when(c("ask_profile"), over(dom.profile_loads, "steps")).otherwise(
+                    c("json_loads")
+                ),
+            }
+        )
+        .withColumn(
+            "fault",
+            F.when(c("fault").isNotNull(), c("fault"))
+            .when(need & c("page").isNull(), "unreadable_markup")
+            .when(c(f"profile.{PROFILE_KEY}").isNull(), "null_username")
+            .when(~c("loads"), "profile_value_kind"),
+        )
+        .withColumn("video_fault", F.when(good, over(_video_fault)))
+        .select(
+            *PAGE_KEYS,
+            "path_username",
+            "fault",
+            F.when(good, over(_profile_record)).alias("profile"),
+            source("ask_profile").alias("profile_source"),
+            F.when(keep_videos & F.lit(videos), over(_video_records, "videos")).alias("videos"),
+            source("ask_videos").alias("video_source"),
+            "video_fault",
+            F.coalesce(F.size("json_videos"), F.lit(0)).alias("json_videos"),
+            F.when(good, c("lost_posts")).otherwise(0).alias("lost_posts"),
+        )
     )
-    fault = (
-        F.when(F.col("fault").isNotNull(), F.col("fault"))
-        .when(need & F.col("page").isNull(), "unreadable_markup")
-        .when(F.col(f"profile.{PROFILE_KEY}").isNull(), "null_username")
-        .when(~F.col("loads"), "profile_value_kind")
-    )
-    video_fault = F.when(
-        F.exists("videos", lambda video: ~video["fits"]), F.lit("video_value_kind")
-    ).when(F.col("lost_posts") > 0, F.lit("unreadable_post"))
-    judged = chosen.withColumn("fault", fault).withColumn(
-        "video_fault", F.when(F.col("fault").isNull(), video_fault)
+
+
+def _video_fault() -> Column:
+    unloadable = F.exists("videos", lambda video: ~video["fits"])
+    return F.when(unloadable, "video_value_kind").when(
+        F.col("lost_posts") > 0, "unreadable_post"
     )
-    good = F.col("fault").isNull()
-    keep_videos = good & ~F.coalesce(F.col("video_fault") == "video_value_kind", F.lit(False))
-    record = F.struct(
+
+
+def _profile_record() -> Column:
+    return F.struct(
         *[F.col(f"profile.{name}").alias(name) for name in _PROFILE_FIELDS],
         F.col("time_created").cast("timestamp").alias("scrape_timestamp"),
     )
-    rows = F.transform(
-        F.col("videos"), lambda video: F.struct(*[video[name].alias(name) for name in VIDEO_COLUMNS])
-    )
-    return judged.select(
-        *PAGE_KEYS,
-        "path_username",
-        "fault",
-        F.when(good, record).alias("profile"),
-        F.when(good, F.when(F.col("ask_profile"), "html").otherwise("json")).alias("profile_source"),
-        F.when(keep_videos & F.lit(videos), rows).alias("videos"),
-        F.when(good, F.when(F.col("ask_videos"), "html").otherwise("json")).alias("video_source"),
-        "video_fault",
-        F.coalesce(F.size("json_videos"), F.lit(0)).alias("json_videos"),
-        F.when(good, F.col("lost_posts")).otherwise(0).alias("lost_posts"),
-    )
+
+
+def _video_records(videos: Column) -> Column:
+    record = lambda video: F.struct(*[video[name].alias(name) for name in VIDEO_COLUMNS])
+    return F.transform(videos, record)
 
 
 def one_or_none(condition: Column, value: Column) -> Column:
@@ -194,6 +226,12 @@ def one_or_none(condition: Column, value: Column) -> Column:
     return F.when(condition, F.array(value))
 
 
+def any_of(column: str) -> Column:
+    """An array column to explode. As a plain column it would get a filter on its
+    size, which is pushed down like any other."""
+    return F.when(F.size(column) > 0, F.col(column))
+
+
 def profile_rows(extracted: DataFrame, *more: str) -> DataFrame:
     """Profile records of :func:`extract_pages`, with further page columns if wanted."""
     rows = extracted.select(
@@ -203,12 +241,6 @@ def profile_rows(extracted: DataFrame, *more: str) -> DataFrame:
     return rows.select(*more, "p.*")
 
 
-def any_of(column: str) -> Column:
-    """An array column to explode. As a plain column it would get a filter on its
-    size, which is pushed down like any other."""
-    return F.when(F.size(column) > 0, F.col(column))
-
-
 def video_rows(extracted: DataFrame, *more: str, position: bool = False) -> DataFrame:
     """Video records of :func:`extract_pages`; ``position`` adds the place in the page."""
     rows = extracted.select(*more, F.posexplode(any_of("videos")).alias("position", "v"))
@@ -227,14 +259,9 @@ def extract_videos(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFram
 
 def json_profiles(pages: DataFrame) -> DataFrame:
     """Profiles as the JSON document gives them, before any fallback."""
+    record = F.struct(F.col("detail.userInfo").isNull().alias("defaulted"), "json_profile.*")
     rows = from_json(pages).select(
-        "path",
-        F.explode(
-            one_or_none(
-                F.col("json_profile").isNotNull(),
-                F.struct(F.col("detail.userInfo").isNull().alias("defaulted"), "json_profile.*"),
-            )
-        ).alias("p"),
+        "path", F.explode(one_or_none(F.col("json_profile").isNotNull(), record)).alias("p")
     )
     return rows.select("path", "p.*")
 
@@ -245,22 +272,22 @@ def json_videos(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     return rows.select("path", F.col("pos").alias("position"), "col.*").drop("fits")
 
 
+def _marked(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("page", dom.creator_nodes(F.col("html"))).withColumn(
+        "marked", over(dom.marked_nodes, "page")
+    )
+
+
 def html_profiles(pages: DataFrame) -> DataFrame:
     """Profiles as the markup gives them, for every page."""
-    read = pages.withColumn("page", dom.creator_nodes(F.col("html"))).withColumn(
-        "marked", dom.marked_nodes(F.col("page"))
-    )
-    steps = read.withColumn("steps", dom.profile_steps(F.col("page"), F.col("marked")))
-    profile = steps.withColumn("p", dom.profile(F.col("steps")))
+    steps = _marked(pages).withColumn("steps", over(dom.profile_steps, "page", "marked"))
+    profile = steps.withColumn("p", over(dom.profile, "steps"))
     rows = profile.select("path", F.col("steps.failed").alias("failed_step"), "p.*")
     return sealed(rows, "path")
 
 
 def html_videos(pages: DataFrame) -> DataFrame:
     """Videos as the markup gives them, for every page."""
-    read = pages.withColumn("page", dom.creator_nodes(F.col("html"))).withColumn(
-        "marked", dom.marked_nodes(F.col("page"))
-    )
-    videos = read.withColumn("videos", dom.videos(F.col("page"), F.col("marked")))
+    videos = _marked(pages).withColumn("videos", over(dom.videos, "page", "marked"))
     rows = videos.select("path", F.posexplode(any_of("videos")))
     return rows.select("path", F.col("pos").alias("position"), "col.*").drop("fits")

@@ -114,6 +114,14 @@ def detail_parts(doc: Column) -> Column:
     return vr.object_of(doc, "userInfo", "posts", "itemList", path=_path(SCOPE_KEY, DETAIL_KEY))
 
 
+def info_parts(info: Column) -> Column:
+    return vr.object_of(info, "user", "stats")
+
+
+def link_of(bio_link: Column) -> Column:
+    return vr.object_of(bio_link, "link")["link"]
+
+
 def user_parts(user: Column) -> Column:
     return vr.object_of(
         user,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reelbook.operators.extract import extract_pages
@@ -46,6 +46,22 @@ def extraction_counts(pages: DataFrame) -> DataFrame:
     )
 
 
+def observed(extracted: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, and counts that are filled in while they are written."""
+    counts = Observation()
+    return (
+        extracted.observe(
+            counts,
+            F.count("*").alias("pages"),
+            F.count("fault").alias("faults"),
+            F.count("profile").alias("profiles"),
+            F.coalesce(F.sum(F.size("videos")), F.lit(0)).alias("videos"),
+            F.coalesce(F.sum("lost_posts"), F.lit(0)).alias("lost_posts"),
+        ),
+        counts,
+    )
+
+
 def filter_invalid_profiles(profiles: DataFrame) -> DataFrame:
     """Profiles whose key names a creator: not null, not empty, not the default text."""
     return profiles.filter(F.col(PROFILE_KEY).isNotNull() & ~F.col(PROFILE_KEY).isin("", "N/A"))

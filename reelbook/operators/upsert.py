@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelbook.session import read_if_there
+
 #: Where a row comes from; later rows win in this order.
 ORIGIN = ("page_time", "page_path", "position")
 _ORIGIN_SCHEMA = [
@@ -22,6 +23,10 @@ _ORIGIN_SCHEMA = [
     T.StructField("position", T.IntegerType()),
 ]
 
+_MARKER = T.StructType(
+    [T.StructField("version", T.LongType()), T.StructField("upto", T.LongType())]
+)
+
 
 def latest(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order``; equal orders are decided by the row values.
@@ -102,7 +107,7 @@ class LatestTable:
         if newest is None:
             return
         self._state().write.mode("overwrite").parquet(f"{self.path}/snapshot/v={version + 1}")
-        marker = self.spark.createDataFrame([(version + 1, newest)], "version bigint, upto bigint")
+        marker = self.spark.createDataFrame([(version + 1, newest)], _MARKER)
         marker.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
 
     def current(self) -> DataFrame:
@@ -124,17 +129,10 @@ class LatestTable:
         return self._read("log")
 
     def _published(self) -> tuple[int, int]:
-        try:
-            markers = self.spark.read.schema("version bigint, upto bigint").parquet(
-                f"{self.path}/published"
-            )
-        except AnalysisException:
-            return 0, -1
+        """Newest snapshot and the last batch it holds."""
+        markers = read_if_there(self.spark, f"{self.path}/published", _MARKER)
         row = markers.agg(F.max(F.struct("version", "upto")).alias("m")).first()
         return (row.m.version, row.m.upto) if row.m else (0, -1)
 
     def _read(self, part: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(self._schema).parquet(f"{self.path}/{part}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], self._schema)
+        return read_if_there(self.spark, f"{self.path}/{part}", self._schema)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: Runtime SQL settings. All of them may be set on a running session.
 SETTINGS = {
@@ -16,6 +18,10 @@ SETTINGS = {
     # Pages are large rows: bound an Arrow batch by bytes, and by rows as well.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
+    # Latest-state streams keep one row per key: on local disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -41,3 +47,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="reelbook-")
     return f"{root.rstrip('/')}/reelbook/{purpose}-{uuid.uuid4().hex}"
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet files below ``path``; no rows if nothing has been written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

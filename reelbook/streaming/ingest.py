@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reelbook.operators import quality
 from reelbook.operators.extract import extract_pages, profile_rows, video_rows
 from reelbook.operators.upsert import LatestTable, latest
 from reelbook.schemas import PROFILE_KEY, PROFILE_SCHEMA, VIDEO_KEY, VIDEO_SCHEMA
-from reelbook.sources import landing, messages
+from reelbook.session import read_if_there
+from reelbook.sources import landing, messages, processed
 from reelbook.sources.landing import PAGE_SCHEMA
 
+logger = logging.getLogger(__name__)
+
 
 class CreatorStore:
     """Everything derived from pages, below one folder.
@@ -25,30 +29,40 @@ class CreatorStore:
     page is parsed once.
     """
 
-    def __init__(self, spark: SparkSession, root: str, order: str = "arrival"):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(
+        self, spark: SparkSession, root: str, order: str = "arrival", json_root: str | None = None
+    ):
+        self.spark, self.root, self.json_root = spark, root.rstrip("/"), json_root
         self.profiles = LatestTable(
             spark, f"{self.root}/profiles", PROFILE_SCHEMA, PROFILE_KEY, order
         )
         self.videos = LatestTable(spark, f"{self.root}/videos", VIDEO_SCHEMA, VIDEO_KEY, order)
         self._extracted = extract_pages(spark.createDataFrame([], PAGE_SCHEMA)).schema
 
-    def take(self, pages: DataFrame, batch_id: int) -> None:
-        """Extract a batch of pages and put it into both tables. Safe to repeat."""
+    def take(self, pages: DataFrame, batch_id: int) -> dict[str, int]:
+        """Extract a batch of pages and put it into both tables. Safe to repeat.
+
+        With ``json_root`` the records are also written as JSON lines. Returns
+        counts of the batch.
+        """
         path = f"{self.root}/extracted/batch_id={batch_id}"
-        extract_pages(pages).write.mode("overwrite").parquet(path)
+        extracted, counts = quality.observed(extract_pages(pages))
+        extracted.write.mode("overwrite").parquet(path)
         done = self.spark.read.schema(self._extracted).parquet(path)
         origin = done.withColumnsRenamed({"path": "page_path", "time_created": "page_time"})
         profiles = profile_rows(origin, "page_path", "page_time")
         self.profiles.append(profiles.withColumn("position", F.lit(0)), batch_id)
         self.videos.append(video_rows(origin, "page_path", "page_time", position=True), batch_id)
+        if self.json_root:
+            for name, rows in (("profiles", profile_rows(done)), ("videos", video_rows(done))):
+                target = f"{self.json_root}/{name}/batch_id={batch_id}"
+                processed.write_json(rows, target, mode="overwrite")
+        return counts.get
 
     def extracted(self) -> DataFrame:
         """Page rows of all batches."""
-        try:
-            return self.spark.read.schema(self._extracted).parquet(f"{self.root}/extracted")
-        except AnalysisException:
-            return self.spark.createDataFrame([], self._extracted)
+        schema = T.StructType([*self._extracted.fields, T.StructField("batch_id", T.LongType())])
+        return read_if_there(self.spark, f"{self.root}/extracted", schema)
 
     def profile_log(self) -> DataFrame:
         """All extracted profiles, not only the latest."""
@@ -65,14 +79,26 @@ class CreatorStore:
 
 
 def start_ingest(
-    pages: DataFrame, store: CreatorStore, checkpoint: str, available_now: bool = True
+    pages: DataFrame,
+    store: CreatorStore,
+    checkpoint: str,
+    available_now: bool = True,
+    publish_every: int | None = None,
 ) -> StreamingQuery:
     """Feed a stream of pages into a store, one batch per trigger.
 
     The batch number names the folders a batch writes, so a batch that is run
-    again after a failure replaces what it wrote before.
+    again after a failure replaces what it wrote before. Every
+    ``publish_every`` batches the tables fold their logs into new snapshots.
     """
-    writer = pages.writeStream.foreachBatch(store.take).option("checkpointLocation", checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = store.take(batch, batch_id)
+        logger.info("batch %s: %s", batch_id, counts)
+        if publish_every and (batch_id + 1) % publish_every == 0:
+            store.publish()
+
+    writer = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
 
 

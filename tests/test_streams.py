@@ -10,7 +10,7 @@ from conftest import SF_DIR
 from pages import HEAD, detail, info, post, script, tile
 from reelbook import CreatorStore, extract_profiles, latest, scratch_dir, start_ingest, start_landing
 from reelbook.plans import fixtures as fx
-from reelbook.sources import landing, messages
+from reelbook.sources import landing, messages, processed
 from reelbook.streaming.ingest import run_latest
 
 
@@ -36,7 +36,7 @@ def test_stream_equals_batch(spark, pages, batch_store):
     store = CreatorStore(spark, scratch_dir(spark, "store"), order="event_time")
     checkpoint = scratch_dir(spark, "ckpt")
     stream = landing.stream_table(spark, pages, files_per_batch=1)
-    start_ingest(stream, store, checkpoint).awaitTermination()
+    start_ingest(stream, store, checkpoint, publish_every=3).awaitTermination()
     assert store.extracted().select("batch_id").distinct().count() == 4
     for name in ("profiles", "videos"):
         ours, theirs = getattr(store, name).current(), getattr(batch_store, name).current()
@@ -51,8 +51,13 @@ def test_stream_equals_batch(spark, pages, batch_store):
 
 def test_repeated_batch(spark, pages, batch_store):
     before = rows(batch_store.profiles.current())
-    batch_store.take(landing.read_table(spark, pages), 0)
+    counts = batch_store.take(landing.read_table(spark, pages), 0)
     assert rows(batch_store.profiles.current()) == before
+    left_out = batch_store.quarantine()
+    assert counts["pages"] == landing.read_table(spark, pages).count()
+    assert counts["profiles"] + counts["faults"] == counts["pages"]
+    assert counts["faults"] == left_out.filter("scope = 'page'").count()
+    assert counts["lost_posts"] == left_out.agg(F.sum("lost")).first()[0] > 0
 
 
 def test_profile_log_keeps_every_page(spark, pages, batch_store):
@@ -72,13 +77,16 @@ def test_objects_as_a_stream(spark, tmp_path):
         data = html if isinstance(html, bytes) else html.encode()
         (folder / "20240101-000000.html").write_bytes(data)
         (folder / "notes.txt").write_text("not a page")
-    store = CreatorStore(spark, scratch_dir(spark, "store"))
+    store = CreatorStore(spark, scratch_dir(spark, "store"), json_root=str(tmp_path / "json"))
     stream = landing.stream_objects(spark, str(tmp_path), files_per_batch=1)
     start_ingest(stream, store, scratch_dir(spark, "ckpt")).awaitTermination()
     found = store.profiles.current().collect()
     assert sorted(row.username for row in found) == ["ann", "bob"]
     assert all(row.scrape_timestamp is not None for row in found)
     assert store.videos.current().count() == 2
+    assert rows(processed.read_json(spark, f"{tmp_path}/json/videos", "videos").drop("batch_id")) == (
+        rows(store.videos.current())
+    )
     assert [q.reason for q in store.quarantine().collect()] == ["invalid_utf8"]
     scanned = landing.object_columns(landing.read_objects(spark, str(tmp_path)), str(tmp_path))
     assert sorted(row.name for row in scanned.collect()) == [
