@@ -110,16 +110,25 @@ class LatestTable:
         marker = self.spark.createDataFrame([(version + 1, newest)], _MARKER)
         marker.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
 
-    def current(self) -> DataFrame:
-        """One row per key, without origin columns."""
-        return self._state().select(*self.columns)
+    def current(self, *columns: str) -> DataFrame:
+        """One row per key, without origin columns; only ``columns`` are read if given.
 
-    def _state(self) -> DataFrame:
+        A published table without newer batches is a plain scan.
+        """
+        return self._state(*columns).select(*(columns or self.columns))
+
+    def _state(self, *columns: str) -> DataFrame:
+        # A batch number and an origin name one row, so leaving out columns picks no other.
+        kept = [
+            name
+            for name in self._schema.fieldNames()
+            if not columns or name not in self.columns or name in (self.key, *columns)
+        ]
         version, upto = self._published()
-        log = self._log()
+        log = self._log().select(*kept)
         if version == 0:
             return latest(log, self.key, self.order)
-        snapshot = self._read(f"snapshot/v={version}")
+        snapshot = self._read(f"snapshot/v={version}").select(*kept)
         newer = log.filter(F.col("batch_id") > upto)
         if newer.isEmpty():
             return snapshot

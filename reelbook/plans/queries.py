@@ -540,13 +540,14 @@ def stream_latest(spark, sf):
 
 
 def _store(spark: SparkSession, sf: str) -> CreatorStore:
-    """Landed pages streamed into a store, once per session and folder."""
+    """Landed pages streamed into a store and published, once per session and folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _stores:
         landed = fx.landed_path(spark, sf)
         store = CreatorStore(spark, scratch_dir(spark, "store"))
         stream = landing.stream_table(spark, landed, files_per_batch=4)
         start_ingest(stream, store, scratch_dir(spark, "ckpt")).awaitTermination()
+        store.publish()
         _stores[key] = store
     return _stores[key]
 

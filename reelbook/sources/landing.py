@@ -76,5 +76,25 @@ def land(fetched: DataFrame) -> DataFrame:
 
 
 def last_landed(pages: DataFrame) -> DataFrame:
-    """One page per path: a creator landed twice in a second keeps the later page."""
-    return latest(pages, "path", ["time_created"])
+    """One page per path: a creator landed twice in a second keeps the later page.
+
+    Paths landed more than once are found from paths and times alone. Joined to
+    the pages they drop the earlier ones; they are few, so the join is usually a
+    broadcast that Spark chooses by their size, and page texts are not shuffled.
+    Only pages that tie in path and time are compared by their text.
+    """
+    times = pages.groupBy("path", "time_created").agg(F.count("*").alias("copies"))
+    contested = (
+        times.groupBy("path")
+        .agg(
+            F.max(F.struct("time_created", "copies")).alias("last"),
+            F.sum("copies").alias("landed"),
+        )
+        .filter("landed > 1")
+        .select("path", F.col("last.time_created").alias("last_time"), "last.copies")
+    )
+    marked = pages.join(contested, "path", "left")
+    is_last = F.col("time_created").eqNullSafe(F.col("last_time"))
+    settled = marked.filter(F.col("copies").isNull() | (is_last & (F.col("copies") == 1)))
+    tied = marked.filter(is_last & (F.col("copies") > 1)).select(*pages.columns)
+    return settled.select(*pages.columns).unionByName(latest(tied, "path", ["time_created"]))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from reelbook import LatestTable, latest, merge_upsert, scratch_dir
 from reelbook.operators.quality import filter_invalid_profiles, reject_null_keys
-from reelbook.sources import processed
+from reelbook.sources import landing, processed
 
 SCHEMA = T.StructType(
     [
@@ -110,6 +110,20 @@ def test_arrival_table_lets_older_scrapes_win(spark, frame):
     assert rows(table.current()) == [("x", 3, "v3")]
 
 
+def test_table_reads_only_wanted_columns(spark, frame):
+    table = LatestTable(spark, scratch_dir(spark, "t"), SCHEMA, "k")
+    table.append(scrape(frame, LOG), 0)
+    expected = [("x", 5), ("y", 6), ("z", 4)]
+    for published in (False, True):
+        if published:
+            table.publish()
+        found = table.current("k", "a")
+        assert rows(found) == expected
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "b#" not in plan
+    assert "Exchange" not in plan
+
+
 def test_table_with_unknown_order(spark):
     with pytest.raises(ValueError):
         LatestTable(spark, "/nowhere", SCHEMA, "k", "other")
@@ -122,6 +136,16 @@ def test_invalid_and_null_keys(frame):
     assert (kept.count(), refused.count()) == (3, 1)
 
 
+def test_last_landed(spark):
+    landed = [("a", "1", 10), ("a", "2", 20), ("b", "3", 5), ("c", "4", 7), ("c", "5", 7), ("c", "5", 7),
+              ("c", "9", 6), ("d", "6", None)]
+    pages = spark.createDataFrame(landed, "path string, html string, t bigint").selectExpr(
+        "path", "html", "timestamp_seconds(t) time_created"
+    )
+    found = landing.last_landed(pages).select("path", "html")
+    assert rows(found) == [("a", "2"), ("b", "3"), ("c", "5"), ("d", "6")]
+
+
 def test_json_read_is_strict(spark, tmp_path):
     good = '{"url":"u","views":1,"description":null}\n'
     for name, text in (("good", good), ("bad", good + '{"url":"u","views":"x"}\n'),
