@@ -20,9 +20,17 @@ from reelbook.sources import landing
 POSTS_PER_PAGE = 10
 SHAPES = 12
 
+#: Scattered numbers are a permutation of the numbers below this prime.
+ARRIVALS = 1000000007
+
 _landed: dict[tuple[str, str], str] = {}
 
 
+def _scatter(number: Column) -> Column:
+    """A spread-out number for a key, in arithmetic that SQL can repeat."""
+    return number * 387420489 % ARRIVALS
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,7 +70,7 @@ def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_count = F.ceil(F.col("n") / POSTS_PER_PAGE).cast("bigint")
     spread = (
         orders.join(people, "c_custkey")
-        .withColumn("chunk", F.col("o_orderkey") % page_count)
+        .withColumn("chunk", _scatter(F.col("o_orderkey")) % page_count)
         .repartition("c_custkey", "chunk")
     )
     post = F.struct("o_orderkey", "views", "created", "o_orderpriority")
@@ -244,20 +252,12 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_table(spark, landed_path(spark, sf_dir))
 
 
-#: Arrival numbers are a permutation of the numbers below this prime.
-ARRIVALS = 1000000007
-
-
-def _arrival(number: Column) -> Column:
-    return number * 387420489 % ARRIVALS
-
-
 def scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a scrape log: profile records in shuffled arrival order."""
     username = F.concat(F.lit("user"), F.col("user_id"))
     every_tenth = F.col("event_id") % 10 == 0
     return table(spark, sf_dir, "events").select(
-        _arrival(F.col("event_id")).alias("arrival"),
+        _scatter(F.col("event_id")).alias("arrival"),
         username.alias("username"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("event_type").alias("actual_name"),
@@ -276,7 +276,7 @@ def scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def video_scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as observations of videos: a video is a part of a supplier."""
     return table(spark, sf_dir, "lineitem").select(
-        _arrival(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("arrival"),
+        _scatter(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("arrival"),
         F.concat(
             F.lit("https://host.example/@user"), F.col("l_suppkey"),
             F.lit("/video/"), F.col("l_partkey"),

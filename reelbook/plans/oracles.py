@@ -22,7 +22,7 @@ _PAGE = (
     _CREATOR
     + """,
 post_row AS (
-  SELECT creator.*, o_orderkey % chunks AS chunk, CAST(o_orderkey AS VARCHAR) AS id, o_orderkey,
+  SELECT creator.*, o_orderkey * 387420489 % 1000000007 % chunks AS chunk, CAST(o_orderkey AS VARCHAR) AS id, o_orderkey,
          CAST(floor(o_totalprice) AS BIGINT) AS views, o_orderpriority,
          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso
   FROM orders JOIN creator ON o_custkey = c_custkey),
@@ -249,10 +249,11 @@ GROUP BY page_id, tag"""
 
 
 def _text(expression: str) -> str:
-    """Text of markup without tags; the entities are those the raw pages use."""
+    """Text of markup without tags; the entities are those the raw pages use, the
+    last of a text sometimes without its semicolon."""
     bare = f"regexp_replace({expression}, '<[^>]*>', '', 'g')"
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        bare = f"replace({bare}, '{entity}', '{char}')"
+    for entity, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        bare = f"regexp_replace({bare}, '&{entity}(;|$)', '{char}', 'g')"
     return f"trim({bare})"
 
 

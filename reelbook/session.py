@@ -15,9 +15,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A JSON object that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # Pages are large rows: bound an Arrow batch by bytes, and by rows as well.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
+    # Pages are large rows and their nodes larger still: bound an Arrow batch by bytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
     # Latest-state streams keep one row per key: on local disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
