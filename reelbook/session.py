@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -51,9 +50,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet files below ``path``; no rows if nothing has been written there yet."""
-    try:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
