@@ -7,12 +7,22 @@ anything that is not an object, without walking the nested values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with the value computed once per row.
+
+    Inside a lambda an outer expression is computed again for every element; a
+    lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def object_of(value: Column, *keys: str, path: str = "$") -> Column:
     """The named keys of a JSON object as VARIANT fields; NULL if not an object."""
     fields = ",".join(f"`{key}`: variant" for key in keys)

@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import _parse_datatype_string
 
 from reelbook.functions import text as tx
+from reelbook.functions import variants as vr
 from reelbook.functions.markup import NodeReader
 from reelbook.schemas import CLASS_DESC, CLASS_FEED, CLASS_STATS, PROFILE_DEFAULTS, VIDEO_DEFAULTS
 
@@ -88,9 +89,21 @@ def find_first(nodes: Column, test: Test) -> Column:
     return F.get(find_all(nodes, test), F.lit(0))
 
 
-def inside(container: Column) -> Test:
-    """Test for descendants of ``container``."""
-    return lambda node: (node["i"] > container["i"]) & (node["i"] <= container["last"])
+def ranks(pool: Column) -> Column:
+    """For each place of a page, up to the last node of ``pool``, which node of the
+    pool is the first one there or later. Built from run lengths in one pass."""
+
+    def run(node: Column, rank: Column) -> Column:
+        before = F.coalesce(F.get(pool, rank - 1)["i"], F.lit(-1))
+        return F.array_repeat(rank, node["i"] - before)
+
+    return F.flatten(F.transform(pool, run))
+
+
+def first_inside(pool: Column, rank_at: Column, container: Column) -> Column:
+    """First node of ``pool`` among the descendants of ``container``, or NULL."""
+    node = F.get(pool, F.get(rank_at, container["i"] + 1))
+    return F.when(node["i"] <= container["last"], node)
 
 
 def node_text(page: Column, node: Column) -> Column:
@@ -196,77 +209,92 @@ def profile_loads(steps: Column) -> Column:
     return fits
 
 
+_NUMBERS = ("views", "likes", "comments", "shares")
+
+
 def videos(page: Column, marked: Column) -> Column:
     """Video rows of the post containers; a container that fails is left out.
 
-    Candidates of each selector are listed once per page, so a container
-    searches those short lists instead of all nodes.
+    The candidates of each selector are listed and ranked once per page; a
+    container then looks its first candidate up, so the work is linear in the page.
     """
     posts = find_all(marked, where("div", data_e2e="user-post-item"))
-    feeds = find_all(page["nodes"], where("div", class_like=CLASS_FEED))
-    containers = F.when(F.size(posts) > 0, posts).otherwise(feeds)
+    count = lambda name: find_all(marked, where("strong", data_e2e=name))
     pools = {
         "link": find_all(page["nodes"], where("a")),
-        "views": find_all(marked, where("strong", data_e2e="video-views")),
+        "views": count("video-views"),
         "image": find_all(page["nodes"], where("img")),
         "desc": find_all(page["nodes"], where("div", class_like=CLASS_DESC)),
         "stats": find_all(page["nodes"], where("div", class_like=CLASS_STATS)),
+        "likes": count("like-count"),
+        "comments": count("comment-count"),
+        "shares": count("share-count"),
     }
-    counts = {
-        "likes": find_all(marked, where("strong", data_e2e="like-count")),
-        "comments": find_all(marked, where("strong", data_e2e="comment-count")),
-        "shares": find_all(marked, where("strong", data_e2e="share-count")),
-    }
-
-    def parts(container: Column) -> Column:
-        return F.struct(
-            *[find_first(pool, inside(container)).alias(name) for name, pool in pools.items()]
+    feeds = find_all(page["nodes"], where("div", class_like=CLASS_FEED))
+    found = F.struct(posts.alias("posts"), *[pool.alias(name) for name, pool in pools.items()])
+
+    def read(found: Column, at: Column) -> Column:
+        first = lambda name, container: first_inside(found[name], at[name], container)
+        containers = F.when(F.size(found["posts"]) > 0, found["posts"]).otherwise(feeds)
+        parts = F.transform(
+            containers,
+            lambda container: F.struct(
+                *[first(name, container).alias(name) for name in ("link", "views", "image")],
+                *[first(name, container).alias(name) for name in ("desc", "stats")],
+            ),
         )
-
-    def values(part: Column) -> Column:
         digits = lambda node: tx.digits_of(node_text(page, node))
-        return F.struct(
-            part["link"].alias("link"),
-            part["image"].alias("image"),
-            node_text(page, part["desc"]).alias("description"),
-            digits(part["views"]).alias("views"),
-            *[
-                digits(find_first(pool, inside(part["stats"]))).alias(name)
-                for name, pool in counts.items()
-            ],
+        values = F.transform(
+            parts,
+            lambda part: F.struct(
+                part["link"].alias("link"),
+                part["image"].alias("image"),
+                node_text(page, part["desc"]).alias("description"),
+                digits(part["views"]).alias("views"),
+                *[
+                    digits(first(name, part["stats"])).alias(name)
+                    for name in ("likes", "comments", "shares")
+                ],
+            ),
         )
+        return F.transform(F.filter(values, _complete), _video)
+
+    return vr.let(
+        found,
+        lambda found: vr.let(
+            F.struct(*[ranks(found[name]).alias(name) for name in pools]),
+            lambda at: read(found, at),
+        ),
+    )
 
-    numbers = ("views", "likes", "comments", "shares")
-
-    def complete(value: Column) -> Column:
-        usable = F.coalesce(~attr(value["link"], "href").isin("", "N/A"), F.lit(False))
-        usable = usable & (value["image"].isNull() | attr(value["image"], "src").isNotNull())
-        for name in numbers:
-            usable = usable & (value[name].isNull() | (value[name] != ""))
-        return usable
-
-    def row(value: Column) -> Column:
-        def number(name: str) -> Column:
-            return F.when(value[name].isNull(), F.lit(0)).otherwise(value[name].try_cast("bigint"))
-
-        fits = F.lit(True)
-        for name in numbers:
-            fits = fits & number(name).isNotNull()
-        return F.struct(
-            attr(value["link"], "href").alias("url"),
-            number("views").cast("bigint").alias("views"),
-            F.coalesce(attr(value["image"], "src"), F.lit(VIDEO_DEFAULTS["thumbnail"])).alias(
-                "thumbnail"
-            ),
-            F.coalesce(value["description"], F.lit(VIDEO_DEFAULTS["description"])).alias(
-                "description"
-            ),
-            F.lit(VIDEO_DEFAULTS["create_time"]).alias("create_time"),
-            number("likes").cast("bigint").alias("like_count"),
-            number("comments").cast("bigint").alias("comment_count"),
-            number("shares").cast("bigint").alias("share_count"),
-            fits.alias("fits"),
+
+def _complete(value: Column) -> Column:
+    """Whether a container has a URL, no picture without src, and digits in its counts."""
+    usable = F.coalesce(~attr(value["link"], "href").isin("", "N/A"), F.lit(False))
+    usable = usable & (value["image"].isNull() | attr(value["image"], "src").isNotNull())
+    for name in _NUMBERS:
+        usable = usable & (value[name].isNull() | (value[name] != ""))
+    return usable
+
+
+def _video(value: Column) -> Column:
+    def number(name: str) -> Column:
+        return F.when(value[name].isNull(), F.lit(0).cast("bigint")).otherwise(
+            value[name].try_cast("bigint")
         )
 
-    found = F.transform(F.transform(containers, parts), values)
-    return F.transform(F.filter(found, complete), row)
+    default = lambda given, name: F.coalesce(given, F.lit(VIDEO_DEFAULTS[name])).alias(name)
+    fits = F.lit(True)
+    for name in _NUMBERS:
+        fits = fits & number(name).isNotNull()
+    return F.struct(
+        attr(value["link"], "href").alias("url"),
+        number("views").alias("views"),
+        default(attr(value["image"], "src"), "thumbnail"),
+        default(value["description"], "description"),
+        F.lit(VIDEO_DEFAULTS["create_time"]).alias("create_time"),
+        number("likes").alias("like_count"),
+        number("comments").alias("comment_count"),
+        number("shares").alias("share_count"),
+        fits.alias("fits"),
+    )

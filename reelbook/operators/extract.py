@@ -89,6 +89,8 @@ def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     the posts from the first unreadable one on.
     """
     parts = ("user", "stats", "link")
+    places = ("detail.posts", "listed_posts", "items", "listed_items")
+    places += ("stats.videoList", "listed_videos")
     usable = F.col("fault").isNull() & F.col("gate")
     return (
         read_document(pages)
@@ -96,9 +98,13 @@ def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
             {
                 "json_profile": F.when(usable, over(jsondoc.profile, *parts)),
                 "json_loads": F.when(usable, over(jsondoc.profile_loads, *parts)),
-                "posts": F.when(usable, over(jsondoc.posts, "doc", "body", "detail", "stats")),
+                "listed_posts": over(jsondoc.as_list, "detail.posts"),
+                "items": over(jsondoc.items_place, "doc", "detail.itemList"),
+                "listed_videos": over(jsondoc.as_list, "stats.videoList"),
             }
         )
+        .withColumn("listed_items", over(jsondoc.as_list, "items"))
+        .withColumn("posts", F.when(usable, over(jsondoc.posts, "doc", "body", *places)))
         .withColumn("given", over(jsondoc.readings, "posts"))
         .withColumn("readable", over(jsondoc.readable_prefix, "given"))
         .withColumns(

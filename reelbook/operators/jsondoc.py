@@ -184,22 +184,31 @@ _POST_FIELDS = ("id", "desc", "createTime", "video", "stats")
 _POST = "struct<" + ",".join(f"`{name}`: variant" for name in _POST_FIELDS) + ">"
 
 
-def posts(doc: Column, body: Column, detail: Column, stats: Column) -> Column:
-    """Posts of a page, from the first of five places that is not empty.
+def as_list(place: Column) -> Column:
+    """The posts of a list; NULL if it is not one. An element that is not an object
+    becomes a NULL struct."""
+    return F.try_variant_get(place, "$", f"array<{_POST}>")
 
-    A place that holds something other than a list ends the search with no
-    posts. An element that is not an object becomes a NULL struct.
+
+def items_place(doc: Column, items: Column) -> Column:
+    """``itemList`` if that key exists, even if it is null or empty, else ``ItemList``."""
+    return F.coalesce(items, member(doc, SCOPE_KEY, DETAIL_KEY, "ItemList"))
+
+
+def posts(doc: Column, body: Column, *places_and_lists: Column) -> Column:
+    """Posts of a page, from the first place that is not empty.
+
+    ``places_and_lists`` are pairs of a place and :func:`as_list` of it; the root
+    map of posts is the last place. A place that holds something other than a
+    list ends the search with no posts.
     """
-    as_list = lambda value: F.try_variant_get(value, "$", f"array<{_POST}>")
-    item_list = F.coalesce(detail["itemList"], member(doc, SCOPE_KEY, DETAIL_KEY, "ItemList"))
-    found = F.lit(None)
-    chain = None
-    for place in (detail["posts"], item_list, stats["videoList"]):
-        rows = as_list(place)
-        hit = F.when(rows.isNotNull(), F.size(rows) > 0).otherwise(vr.truthy(place))
-        chain = F.when(hit, rows) if chain is None else chain.when(hit, rows)
-    found = chain.when(vr.is_object(member(doc, ITEM_MODULE_KEY)), item_module_posts(body))
-    return F.coalesce(found, F.array().cast(f"array<{_POST}>"))
+    places, lists = places_and_lists[::2], places_and_lists[1::2]
+    chain = F
+    for place, rows in zip(places, lists):
+        found = F.when(rows.isNotNull(), F.size(rows) > 0).otherwise(vr.truthy(place))
+        chain = chain.when(found, rows)
+    chain = chain.when(vr.is_object(member(doc, ITEM_MODULE_KEY)), item_module_posts(body))
+    return F.coalesce(chain, F.array().cast(f"array<{_POST}>"))
 
 
 def item_module_posts(body: Column) -> Column:
@@ -266,7 +275,7 @@ def videos(given: Column, username: Column, url_base: str = VIDEO_URL_BASE) -> C
     ``fits`` tells whether all values of a row can be loaded.
     """
 
-    def row(reading: Column) -> Column:
+    def row(reading: Column, prefix: Column) -> Column:
         stats = reading["stats"]
         sources = {
             "views": (stats["playCount"], "bigint"),
@@ -280,9 +289,7 @@ def videos(given: Column, username: Column, url_base: str = VIDEO_URL_BASE) -> C
             name: vr.default_if_missing(value, VIDEO_DEFAULTS[name], sql_type)
             for name, (value, sql_type) in sources.items()
         }
-        fields["url"] = F.concat(
-            F.lit(f"{url_base}/@"), username, F.lit("/video/"), reading["id"]
-        )
+        fields["url"] = F.concat(prefix, reading["id"])
         fields["create_time"] = F.when(
             _is_timed(reading), tx.epoch_to_iso(reading["seconds"])
         ).otherwise(VIDEO_DEFAULTS["create_time"])
@@ -293,4 +300,8 @@ def videos(given: Column, username: Column, url_base: str = VIDEO_URL_BASE) -> C
             *[fields[name].alias(name) for name in VIDEO_COLUMNS], fits.alias("fits")
         )
 
-    return F.transform(F.filter(given, lambda reading: reading["has_id"]), row)
+    with_id = F.filter(given, lambda reading: reading["has_id"])
+    return vr.let(
+        F.concat(F.lit(f"{url_base}/@"), username, F.lit("/video/")),
+        lambda prefix: F.transform(with_id, lambda reading: row(reading, prefix)),
+    )

@@ -545,7 +545,7 @@ def _store(spark: SparkSession, sf: str) -> CreatorStore:
     if key not in _stores:
         landed = fx.landed_path(spark, sf)
         store = CreatorStore(spark, scratch_dir(spark, "store"))
-        stream = landing.stream_table(spark, landed, files_per_batch=4)
+        stream = landing.stream_table(spark, landed, files_per_batch=16)
         start_ingest(stream, store, scratch_dir(spark, "ckpt")).awaitTermination()
         store.publish()
         _stores[key] = store
