@@ -132,7 +132,14 @@ class LatestTable:
         newer = log.filter(F.col("batch_id") > upto)
         if newer.isEmpty():
             return snapshot
-        return latest(snapshot.unionByName(newer), self.key, self.order)
+        # Only rows of the keys in newer batches compete. As long as Spark finds those
+        # keys small enough to broadcast, the rest of the snapshot is not shuffled.
+        keys = newer.select(self.key).distinct()
+        untouched = snapshot.join(keys, self.key, "left_anti")
+        touched = snapshot.join(keys, self.key, "left_semi")
+        return untouched.unionByName(
+            latest(touched.unionByName(newer), self.key, self.order)
+        )
 
     def _log(self) -> DataFrame:
         return self._read("log")
