@@ -20,35 +20,101 @@ from reelbook.schemas import (
 
 # Attribute text of a tag; quoted values may hold '>'.
 _ATTRS = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
-# Comments, scripts and styles in document order. Consuming all of them keeps a
-# copy of the document inside a comment or inside another script from matching.
-_OPAQUE = (
-    r"(?is)<!--.*?--\s*>"
-    rf"|<(script|style)(?=[\s/>]){_ATTRS}(?:(?<=/)>|>.*?</\s*\1\s*>)"
-)
-_START = rf"(?is)^<script(?=[\s/>]){_ATTRS}"
 _ATTR = r"""[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?"""
 _WANTED = rf"""(?i)^id\s*=\s*(?:"{SCRIPT_ID}"|'{SCRIPT_ID}'|{SCRIPT_ID})$"""
-_BODY = rf"(?is)^<script{_ATTRS}>(.*)</\s*script\s*>$"
+_SCRIPT = rf"(?is)^<script{_ATTRS}>(.*)$"
+# Where a page is cut: in front of comment, script and style starts and ends.
+_CUT = (
+    r"(?i)(?=[<-])(?:(?=<!--|<(?:script|style)[\s/>]|</\s*(?:script|style)\s*>)"
+    r"|(?=--\s*>)(?<!<!)(?<!<!-))"
+)
+# A start tag that does not close itself.
+_START = rf"(?i)^<(?:script|style){_ATTRS}(?<!/)>"
+_END = r"(?i)^</\s*(script|style)"
+_REGIONS = ("comment", "script", "style")
 
 
 def script_body(html: Column) -> Column:
     """Text of the first script with the wanted id; NULL if there is none or it is empty.
 
-    Pages without the id, which a plain substring test finds, skip the regular
-    expressions.
+    Pages without the id, which a plain substring test finds, are not looked at.
+    The others are cut in front of every start and end of a comment, script or
+    style, and one walk over the pieces finds the script: what lies in a comment
+    or in another script does not count, and neither does a start without an end.
     """
-    blocks = F.regexp_extract_all(html, F.lit(_OPAQUE), F.lit(0))
+    found = vr.let(
+        F.split(html, _CUT),
+        lambda pieces: vr.let(F.transform(pieces, _piece_kind), lambda kinds: _walk(pieces, kinds)),
+    )
+    return F.when(F.contains(html, F.lit(SCRIPT_ID)) & (found != ""), found)
+
+
+def _piece_kind(piece: Column) -> Column:
+    """What a piece starts or ends. The first letters decide which pattern is tried,
+    so that no pattern is searched for in the text of other pieces."""
+    head = F.lower(F.substring(piece, 1, 7))
+    tag = lambda name: F.startswith(head, F.lit(f"<{name}")) & F.rlike(piece, F.lit(_START))
+    return (
+        F.when(F.startswith(head, F.lit("<!--")), "comment")
+        .when(F.startswith(head, F.lit("--")), "comment end")
+        .when(tag("script"), "script")
+        .when(tag("style"), "style")
+        .when(
+            F.startswith(head, F.lit("</")),
+            F.concat(F.lower(F.regexp_extract(piece, _END, 1)), F.lit(" end")),
+        )
+    )
+
+
+def _is_wanted(piece: Column) -> Column:
+    attrs = F.regexp_extract_all(F.regexp_extract(piece, _SCRIPT, 1), F.lit(_ATTR), F.lit(0))
+    return F.contains(piece, F.lit(SCRIPT_ID)) & F.exists(
+        attrs, lambda attr: F.rlike(attr, F.lit(_WANTED))
+    )
+
 
-    def wanted(block: Column) -> Column:
-        attrs = F.regexp_extract_all(F.regexp_extract(block, _START, 1), F.lit(_ATTR), F.lit(0))
-        return F.contains(block, F.lit(SCRIPT_ID)) & F.exists(
-            attrs, lambda attr: F.rlike(attr, F.lit(_WANTED))
+def _walk(pieces: Column, kinds: Column) -> Column:
+    """Body of the wanted script from the pieces of a page and their kinds."""
+
+    def last_end(name: str) -> Column:
+        back = F.array_position(F.reverse(kinds), F.lit(f"{name} end")).cast("int")
+        return F.when(back > 0, F.size(kinds) - back).otherwise(-1).alias(name)
+
+    state = lambda region, start, end: F.struct(
+        region.alias("region"), start.alias("start"), end.alias("end")
+    )
+    none = F.lit(-1)
+    outside = state(F.lit("none"), none, none)
+    steps = F.arrays_zip(
+        kinds.alias("kind"),
+        F.sequence(F.lit(0), F.size(kinds) - 1).alias("place"),
+        F.transform(pieces, _is_wanted).alias("wanted"),
+    )
+
+    def step(at: Column, piece: Column, ends: Column) -> Column:
+        place, kind = piece["place"], piece["kind"]
+        opens = F.lit(False)
+        for name in _REGIONS:
+            opens = opens | ((kind == name) & (place < ends[name]))
+        closes = kind == F.concat(at["region"], F.lit(" end"))
+        start = F.when((kind == "script") & piece["wanted"], place).otherwise(none)
+        return (
+            F.when(at["end"] >= 0, at)
+            .when((at["region"] == "none") & opens, state(kind, start, none))
+            .when(closes & (at["start"] >= 0), state(at["region"], at["start"], place))
+            .when(closes, outside)
+            .otherwise(at)
         )
 
-    first = F.get(F.filter(blocks, wanted), F.lit(0))
-    body = F.regexp_extract(first, _BODY, 2)
-    return F.when(F.contains(html, F.lit(SCRIPT_ID)) & (body != ""), body)
+    def body(at: Column) -> Column:
+        first = F.regexp_extract(F.get(pieces, at["start"]), _SCRIPT, 2)
+        rest = F.slice(pieces, at["start"] + 2, at["end"] - at["start"] - 1)
+        return F.when(at["end"] >= 0, F.concat(first, F.array_join(rest, "")))
+
+    return vr.let(
+        F.struct(*[last_end(name) for name in _REGIONS]),
+        lambda ends: F.aggregate(steps, outside, lambda at, piece: step(at, piece, ends), body),
+    )
 
 
 def parse(body: Column) -> Column:

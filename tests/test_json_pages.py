@@ -67,6 +67,11 @@ def test_defaults_and_nulls(row):
         "<script>var a='<!--';</script>" + script(detail(userInfo=info())),
         "<style>a:after{content:'<script>'}</style>" + script(detail(userInfo=info())),
         f'<!-- <script id="{SCRIPT_ID}">{{</script> -->' + script(detail(userInfo=info())),
+        "<!-- open " + script(detail(userInfo=info())),
+        "<script>open" * 2 + "</script>" + script(detail(userInfo=info())),
+        "<!--><b>x</b> -- ><!---> <p> -->" + script(detail(userInfo=info())),
+        script(detail(userInfo=info(bio="<!-- <script> </style> --> <style>"))),
+        script(detail(userInfo=info())) + script(detail(userInfo=info(uniqueId="two"))),
         f'<script data-id="{SCRIPT_ID}">{{</script>' + script(detail(userInfo=info())),
         f"<script>'id=\"{SCRIPT_ID}\"'</script>" + script(detail(userInfo=info())),
         script("　\n" + '{"__DEFAULT_SCOPE__":{"webapp.user-detail":{"userInfo":'
@@ -236,6 +241,17 @@ def test_repeated_ids_are_kept_before_the_merge(row):
     assert ids(row) == ["1", "1"]
 
 
+@pytest.mark.page("<!-- x " * 20000 + "<script>" * 20000 + script(detail(userInfo=info())))
+def test_many_unclosed_regions(row):
+    """The scripts before it take it in; finding that out is linear in the page."""
+    assert (row.fault, row.profile_source) == (None, "html")
+
+
+@pytest.mark.page(script(detail(userInfo=info(bio="<!-- </style> -->"))))
+def test_body_is_whole(row):
+    assert row.profile.bio == "<!-- </style> -->"
+
+
 def test_profiles_and_quarantine_cover_all_pages(make_pages):
     pages = make_pages([script("{"), script(detail(userInfo=info())), HEAD, "", script("null")])
     left_out = quarantine(pages).collect()
