@@ -46,7 +46,8 @@ def script_body(html: Column) -> Column:
         F.split(html, _CUT),
         lambda pieces: vr.let(F.transform(pieces, _piece_kind), lambda kinds: _walk(pieces, kinds)),
     )
-    return F.when(F.contains(html, F.lit(SCRIPT_ID)) & (found != ""), found)
+    body = vr.let(found, lambda text: F.when(text != "", text))
+    return F.when(F.contains(html, F.lit(SCRIPT_ID)), body)
 
 
 def _piece_kind(piece: Column) -> Column:

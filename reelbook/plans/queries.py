@@ -152,11 +152,11 @@ def epoch_to_iso(spark, sf):
 def json_script(spark, sf):
     """Which pages embed a document, and how it begins and ends."""
     body = tx.strip(jsondoc.script_body(F.col("html")))
-    return fx.pages(spark, sf).select(
+    return fx.pages(spark, sf).select("path", body.alias("body")).select(
         "path",
-        body.isNotNull().alias("has_script"),
-        F.substring(body, 1, 20).alias("head"),
-        F.regexp_count(body, F.lit('"desc":')).cast("bigint").alias("posts"),
+        F.col("body").isNotNull().alias("has_script"),
+        F.substring("body", 1, 20).alias("head"),
+        F.regexp_count("body", F.lit('"desc":')).cast("bigint").alias("posts"),
     )
 
 
