@@ -42,7 +42,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", "")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="reelbook-")
     return f"{root.rstrip('/')}/reelbook/{purpose}-{uuid.uuid4().hex}"

@@ -5,10 +5,14 @@ import pytest
 import __spark_entry__ as entry
 from check import compare
 from conftest import SF_DIR
+from reelbook.plans.oracles import ORACLES
+from reelbook.plans.queries import QUERIES
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -17,6 +21,6 @@ def test_entry(spark):
     assert found.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, name):
-    assert compare(spark, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert compare(spark, SF_DIR, name, QUERIES[name], ORACLES[name]) is None
