@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import sys
 import math
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
@@ -35,6 +34,8 @@ MODEL_WORDS = 50_000
 PRIOR, CAUTION = 0.015, 1.0
 #: Log-odds that a word needs after that; words that are barely toxic would only add noise.
 LEAST = 2.0
+#: Distinct words that a task counts before it hands the counts on.
+COUNTED = 20_000
 #: What a word outside the model costs, in nats.
 COST = 0.25
 #: Evidence is counted in steps of this size when it is calibrated, within these ends.
@@ -125,15 +126,19 @@ def _word_scores(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, fl
         return {}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, list[int]] = {}
         for batch in batches:
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[label].update(set(words_of(text)))
-            words = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), *(pa.array([seen[k][w] for w in words], pa.int64()) for k in (1, 0))],
-                names=["word", "t", "c"],
-            )
+            for label, text in zip(*batch.columns, strict=True):
+                for word in set(words_of(text.as_py())):
+                    seen.setdefault(word, [0, 0])[label.as_py()] += 1
+                if len(seen) > COUNTED:
+                    yield rows_of(seen)
+                    seen = {}
+        yield rows_of(seen)
+
+    def rows_of(seen: dict[bytes, list[int]]) -> pa.RecordBatch:
+        clean, toxic = (pa.array([n[k] for n in seen.values()], pa.int64()) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(seen, pa.binary()), toxic, clean], names=["word", "t", "c"])
 
     label = (F.col("toxic") > 0).cast("int").alias("toxic")
     counts = texts.select(label, "text").mapInArrow(count, "word binary, t long, c long")
