@@ -40,11 +40,12 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     rows = sizes.withColumn("weight", weight).withColumn("limit", F.lit(float(most)) * F.col("source_size"))
     rows = rows.withColumn("ratio", F.col("limit") / F.col("weight"))
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.orderBy("ratio", F.col("source").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.orderBy("ratio", F.col("source").asc_nulls_first())
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     left = F.lit(float(share)) * F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))
     open_weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    rows = rows.withColumn("factor", left / open_weight)
-    below = F.when(F.col("factor") <= F.col("ratio"), F.struct("ratio", "factor"))
+    rows = rows.withColumns({"factor": left / open_weight, "rank": F.row_number().over(in_order)})
+    below = F.when(F.col("factor") <= F.col("ratio"), F.struct("rank", "factor"))
     factor = F.min(below).over(everything)["factor"]
     target = F.least(F.col("limit"), F.coalesce(factor * F.col("weight"), F.col("limit")))
     return rows.select("source", "source_size", target.alias("target"))
