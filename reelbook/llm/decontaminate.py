@@ -185,8 +185,7 @@ def _automata(items: DataFrame, key: str, text: str, block_words: int):
             block, size = [], 0
         block.append((row.k, words))
         size += len(words)
-    if block:
-        yield context.broadcast(vars(SuffixAutomaton.of(block)))
+    yield context.broadcast(vars(SuffixAutomaton.of(block)))  # without items, one that knows nothing
 
 
 def find_hits(
@@ -205,13 +204,10 @@ def find_hits(
     row and extra columns pass through; an input column named ``found`` is
     replaced. One scan per block of items, no shuffle.
     """
-    found = None
+    found = F.lit(None).cast(f"struct<{_TYPE}>")
     for automaton in _automata(items, item_key, item_text, block_words):
-        docs = docs.withColumn("found", _scan(automaton)(F.col(text), found or F.lit(None).cast(f"struct<{_TYPE}>")))
+        docs = docs.withColumn("found", _scan(automaton)(F.col(text), found))
         found = F.col("found")
-    if found is None:
-        empty = _scan(docs.sparkSession.sparkContext.broadcast(vars(SuffixAutomaton.of([]))))
-        docs = docs.withColumn("found", empty(F.col(text), F.lit(None).cast(f"struct<{_TYPE}>")))
     return docs
 
 
