@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark import cloudpickle
@@ -30,13 +32,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(frame: DataFrame, purpose: str) -> DataFrame:
-    """``frame`` written to the shared working folder and read back: it is computed once."""
+_working: list[list[str]] = []
+
+
+def saved(frame: DataFrame, purpose: str, stay: bool = False) -> DataFrame:
+    """``frame`` written to the shared working folder and read back: it is computed once.
+
+    Within :func:`discarding` the table goes at the end, or with ``stay`` at the end of the
+    block around that.
+    """
     path = scratch_dir(frame.sparkSession, purpose)
+    block = len(_working) - 1 - stay
+    if block >= 0:
+        _working[block].append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Remove the working tables saved in this block at its end.
+
+    What the block hands on must not read them: it is saved with ``stay``.
+    """
+    _working.append([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for path in _working.pop():
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def maybe_broadcast(frame: DataFrame, rows: int) -> DataFrame:
     """``frame`` marked for broadcast if its counted ``rows`` are few; else left to a shuffle join."""
     return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame

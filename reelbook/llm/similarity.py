@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import FOLD, maybe_broadcast, mixed, saved, text_or_empty
+from reelbook.llm.common import FOLD, discarding, maybe_broadcast, mixed, saved, text_or_empty
 
 #: Python workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -406,20 +406,8 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
         F.count("*").alias("weight"), F.min("doc_id").alias("copy_id"), F.any_value(one).alias("one")
     )
     sets = saved(sets.select(F.monotonically_increasing_id().alias("set"), "d1", "d2", "weight", "copy_id", "one.*"), "sets")
-    members = _blocked(_leaves(sets), sets)
-    key = ["path", "low", "high"]
-    candidates = members.repartition(*key).sortWithinPartitions(*key, "set").mapInArrow(_candidates, _MEMBER)
-    candidates = saved(candidates, "candidates")
-    wanted = candidates.select("set").distinct().join(sets, "set")
-    grams = saved(_gram_sets(docs, wanted, text), "grams")
-    found = candidates.join(grams, "set").select(*candidates.columns, "grams")
-    found = found.repartition(*key).sortWithinPartitions(*key, "set")
-    found = saved(found.mapInArrow(_confirmed, "set long, links long, texts long, label long"), "links")
-    degrees = found.groupBy("set").agg(F.sum("links").alias("links"))
-    joined = components(found.select(F.col("set").alias("a"), F.col("label").alias("b")))
-    about = sets.select("set", "d1", "d2", "weight", "copy_id").join(degrees, "set", "left")
-    about = about.join(joined.select(F.col("node").alias("set"), "root"), "set", "left")
-    about = saved(about.withColumn("class", F.coalesce("root", "set")), "about")
+    with discarding(docs.sparkSession):
+        about = saved(_linked(docs, sets, text), "about", stay=True)
     names = about.groupBy("class").agg(F.min("copy_id").alias("class_id"))
     about = about.join(names, "class").withColumn("n_links", F.col("weight") - 1 + F.coalesce("links", F.lit(0)))
     rows = sketches.select("doc_id", "t", "d1", "d2", "n").join(
@@ -436,12 +424,31 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _linked(docs: DataFrame, sets: DataFrame, text: str) -> DataFrame:
+    """``sets`` without their tokens, with ``links`` (null without any) and ``class``."""
+    members = _blocked(_leaves(sets), sets)
+    key = ["path", "low", "high"]
+    candidates = members.repartition(*key).sortWithinPartitions(*key, "set").mapInArrow(_candidates, _MEMBER)
+    candidates = saved(candidates, "candidates")
+    wanted = candidates.select("set").distinct().join(sets, "set")
+    grams = saved(_gram_sets(docs, wanted, text), "grams")
+    found = candidates.join(grams, "set").select(*candidates.columns, "grams")
+    found = found.repartition(*key).sortWithinPartitions(*key, "set")
+    found = saved(found.mapInArrow(_confirmed, "set long, links long, texts long, label long"), "links")
+    degrees = found.groupBy("set").agg(F.sum("links").alias("links"))
+    joined = components(found.select(F.col("set").alias("a"), F.col("label").alias("b")))
+    rows = sets.select("set", "d1", "d2", "weight", "copy_id").join(degrees, "set", "left")
+    rows = rows.join(joined.select(F.col("node").alias("set"), "root"), "set", "left")
+    return rows.withColumn("class", F.coalesce("root", "set"))
+
+
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with one row of each class: that with the least id (null ids last), then text hash.
 
     Rows without words are classes of their own, but for repeats of id and text.
     """
-    rows = saved(classes(docs, text).select("doc_id", "t", "class"), "classes")
+    with discarding(docs.sparkSession):
+        rows = saved(classes(docs, text).select("doc_id", "t", "class"), "classes", stay=True)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")).alias("f")
     best = rows.where("class IS NOT NULL").groupBy("class").agg(first).select("f.doc_id", "f.t")
     best = best.unionByName(rows.where("class IS NULL").select("doc_id", "t")).distinct()
