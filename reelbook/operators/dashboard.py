@@ -95,10 +95,13 @@ _INTERACTIONS = ("like_count", "comment_count", "share_count")
 
 
 def creator_totals(videos: DataFrame) -> DataFrame:
-    """Sums over the videos of each creator named in the URLs."""
+    """Sums over the videos of each creator: the ``username`` of the page where that is a
+    column and known, else the one named in the URL. Videos of nobody have a row with NULL."""
+    named = video_creator(F.col("url"))
+    if "username" in videos.columns:
+        named = F.coalesce(F.nullif("username", F.lit("N/A")), F.nullif(named, F.lit("N/A")))
     return (
-        videos.withColumn("username", video_creator(F.col("url")))
-        .filter(F.col("username").isNotNull())
+        videos.withColumn("username", F.nullif(named, F.lit("N/A")))
         .groupBy("username")
         .agg(
             F.count("*").alias("videos"),

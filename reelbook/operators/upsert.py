@@ -7,13 +7,14 @@ batch that is replayed replaces itself, and nothing is overwritten in place.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelbook.session import read_if_there
+from reelbook.session import Store
 
 #: Where a row comes from; later rows win in this order.
 ORIGIN = ("page_time", "page_path", "position")
@@ -23,11 +24,6 @@ _ORIGIN_SCHEMA = [
     T.StructField("position", T.IntegerType()),
 ]
 
-_MARKER = T.StructType(
-    [T.StructField("version", T.LongType()), T.StructField("upto", T.LongType())]
-)
-
-
 def latest(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order``; equal orders are decided by the row values.
 
@@ -72,6 +68,12 @@ class LatestTable:
 
     ``order="arrival"``: the later batch wins, whatever its page time.
     ``order="event_time"``: the later page wins, whatever its batch.
+
+    A batch number belongs to one batch: taking it again replaces it. A snapshot
+    is kept in ``buckets`` folders by the hash of the key; publishing rewrites only
+    those that newer batches touch. Which batches a snapshot holds is recorded
+    with it, so one that arrives late, below the newest number, still counts.
+    ``more`` columns are stored beside those of the table and read when asked for.
     """
 
     def __init__(
@@ -81,34 +83,68 @@ class LatestTable:
         schema: T.StructType,
         key: str,
         order: str = "arrival",
+        buckets: int = 32,
+        more: Sequence[T.StructField] = (),
     ):
         if order not in ("arrival", "event_time"):
             raise ValueError(f"unknown order: {order}")
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
         self.columns = schema.fieldNames()
+        self._stored = [*self.columns, *(field.name for field in more)]
         self.order = (
             ("batch_id", *ORIGIN) if order == "arrival" else ("page_time", "batch_id", *ORIGIN[1:])
         )
+        self.buckets = buckets
+        self._store = Store(spark, self.path)
         batch = T.StructField("batch_id", T.LongType())
-        self._schema = T.StructType([*schema.fields, *_ORIGIN_SCHEMA, batch])
+        self._schema = T.StructType([*schema.fields, *more, *_ORIGIN_SCHEMA, batch])
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Take a batch: the table columns and the :data:`ORIGIN` columns.
+        """Take a batch: the stored columns and the :data:`ORIGIN` columns.
 
         The batch is reduced to one row per key. Rows with a NULL key are refused.
         """
-        batch = latest(rows.select(*self.columns, *ORIGIN), self.key, ORIGIN)
+        batch = latest(rows.select(*self._stored, *ORIGIN), self.key, ORIGIN)
         batch.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
     def publish(self) -> None:
-        """Write the current state as a new snapshot, then make it the one that is read."""
-        version, _ = self._published()
-        newest = self._log().agg(F.max("batch_id")).first()[0]
-        if newest is None:
+        """Fold the newer batches into a new snapshot and make it the one that is read.
+
+        Without newer batches nothing is written. Of two callers at once, the one
+        with the higher version decides; what the other folded is folded again.
+        """
+        head = self._head()
+        newer = self._newer(head)
+        if not newer:
             return
-        self._state().write.mode("overwrite").parquet(f"{self.path}/snapshot/v={version + 1}")
-        marker = self.spark.createDataFrame([(version + 1, newest)], _MARKER)
-        marker.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+        version = 1 + max([head["version"], *map(int, self._store.names("versions"))])
+        while not self._store.claim(f"versions/{version}"):
+            version += 1
+        touched = self._touched(newer)
+        if touched:
+            rows = self._merged(head, newer, touched, self._schema.fieldNames()).withColumn("bucket", self._bucket())
+            # large buckets are spread over several tasks, small ones share one
+            rows = rows.hint("rebalance", "bucket")
+            rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/snapshot/v={version}")
+        upto = max(head["upto"], *newer)
+        open_ = {*head["open"], *range(head["upto"] + 1, upto + 1)} - {*newer}
+        places = head["buckets"] | {str(b): version for b in touched}
+        mark = {"version": version, "upto": upto, "open": sorted(open_), "buckets": places}
+        self._store.write(f"published/{version}", json.dumps(mark))
+
+    def drop_folded(self) -> None:
+        """Remove what the newest snapshot has made superfluous. Nothing may be reading it."""
+        head = self._head()
+        for number in self._numbers():
+            if number <= head["upto"] and number not in head["open"]:
+                self._store.remove(f"log/batch_id={number}")
+        for folder in self._store.names("snapshot"):
+            for name in self._store.names(f"snapshot/{folder}"):
+                if name.startswith("bucket=") and folder != f"v={head['buckets'].get(name[7:])}":
+                    self._store.remove(f"snapshot/{folder}/{name}")
+        for name in self._store.names("published"):
+            if name.isdigit() and int(name) < head["version"]:
+                self._store.remove(f"published/{name}")
 
     def current(self, *columns: str) -> DataFrame:
         """One row per key, without origin columns; only ``columns`` are read if given.
@@ -122,33 +158,55 @@ class LatestTable:
         kept = [
             name
             for name in self._schema.fieldNames()
-            if not columns or name not in self.columns or name in (self.key, *columns)
+            if name not in self._stored or name in (self.key, *(columns or self.columns))
+        ]
+        head = self._head()
+        newer = self._newer(head)
+        touched = {str(b) for b in self._touched(newer)} if newer else set()
+        rest = self._snapshot(head, [b for b in head["buckets"] if b not in touched], kept)
+        if not touched:
+            return self.spark.createDataFrame([], self._schema).select(*kept) if rest is None else rest
+        merged = self._merged(head, newer, touched, kept)
+        return merged if rest is None else rest.unionByName(merged)
+
+    def _merged(self, head: dict, newer: list[int], touched, kept: list[str]) -> DataFrame:
+        """The buckets that newer batches touch, with these batches."""
+        rows = self._log(newer).select(*kept)
+        old = self._snapshot(head, [str(b) for b in touched], kept)
+        return latest(rows if old is None else old.unionByName(rows), self.key, self.order)
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def _touched(self, newer: list[int]) -> list[int]:
+        found = self._log(newer).select(self._bucket().alias("b")).distinct()
+        return sorted(row.b for row in found.collect())  # at most ``buckets`` numbers
+
+    def _snapshot(self, head: dict, buckets, kept: list[str]) -> DataFrame | None:
+        """Some buckets of the snapshot; None if it has none of them."""
+        places = [f"{self.path}/snapshot/v={head['buckets'][b]}/bucket={b}" for b in buckets if b in head["buckets"]]
+        return self.spark.read.schema(self._schema).parquet(*places).select(*kept) if places else None
+
+    def _log(self, numbers: list[int]) -> DataFrame:
+        places = [f"{self.path}/log/batch_id={n}" for n in numbers]
+        return self.spark.read.schema(self._schema).option("basePath", f"{self.path}/log").parquet(*places)
+
+    def _numbers(self) -> list[int]:
+        names = self._store.names("log")
+        return sorted(int(name[9:]) for name in names if name.startswith("batch_id="))
+
+    def _newer(self, head: dict) -> list[int]:
+        """Whole batches that the snapshot does not hold; one that is being written is not whole."""
+        return [
+            n
+            for n in self._numbers()
+            if (n > head["upto"] or n in head["open"]) and self._store.exists(f"log/batch_id={n}/_SUCCESS")
         ]
-        version, upto = self._published()
-        log = self._log().select(*kept)
-        if version == 0:
-            return latest(log, self.key, self.order)
-        snapshot = self._read(f"snapshot/v={version}").select(*kept)
-        newer = log.filter(F.col("batch_id") > upto)
-        if newer.isEmpty():
-            return snapshot
-        # Only rows of the keys in newer batches compete. As long as Spark finds those
-        # keys small enough to broadcast, the rest of the snapshot is not shuffled.
-        keys = newer.select(self.key).distinct()
-        untouched = snapshot.join(keys, self.key, "left_anti")
-        touched = snapshot.join(keys, self.key, "left_semi")
-        return untouched.unionByName(
-            latest(touched.unionByName(newer), self.key, self.order)
-        )
-
-    def _log(self) -> DataFrame:
-        return self._read("log")
-
-    def _published(self) -> tuple[int, int]:
-        """Newest snapshot and the last batch it holds."""
-        markers = read_if_there(self.spark, f"{self.path}/published", _MARKER)
-        row = markers.agg(F.max(F.struct("version", "upto")).alias("m")).first()
-        return (row.m.version, row.m.upto) if row.m else (0, -1)
 
-    def _read(self, part: str) -> DataFrame:
-        return read_if_there(self.spark, f"{self.path}/{part}", self._schema)
+    def _head(self) -> dict:
+        """The newest snapshot: its version, the batches it holds (all up to ``upto`` but those in
+        ``open``), and the version that each bucket was last written in."""
+        versions = [int(name) for name in self._store.names("published") if name.isdigit()]
+        if not versions:
+            return {"version": 0, "upto": -1, "open": [], "buckets": {}}
+        return json.loads(self._store.read(f"published/{max(versions)}"))

@@ -3,7 +3,9 @@
 A customer is a creator and its orders are the posts. ``c_custkey % 12`` picks
 the shape of the creator's pages, so that each way of reading a page occurs.
 A creator with many orders gets many pages (about ``POSTS_PER_PAGE`` posts on
-each), so that no page grows with the data. Pages are written once per session
+each), so that no page grows with the data. Followers rise from page to page, and
+every fifth post is on the page before its own too, with other numbers, so that it
+matters which page is the last. Pages are written once per session
 and folder as a landing table; queries then read that table.
 """
 
@@ -18,6 +20,8 @@ from reelbook.session import scratch_dir
 from reelbook.sources import landing
 
 POSTS_PER_PAGE = 10
+#: Files of the landing table at least, so that a stream over it has several batches.
+LANDED_FILES = 4
 SHAPES = 12
 
 #: Scattered numbers are a permutation of the numbers below this prime.
@@ -27,8 +31,11 @@ _landed: dict[tuple[str, str], str] = {}
 
 
 def _scatter(number: Column) -> Column:
-    """A spread-out number for a key, in arithmetic that SQL can repeat."""
-    return number * 387420489 % ARRIVALS
+    """A spread-out number for a key, in arithmetic that SQL can repeat and that cannot overflow.
+
+    Keys that differ by a multiple of the prime tie; whoever orders by it adds the key.
+    """
+    return number % ARRIVALS * 387420489 % ARRIVALS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +78,10 @@ def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread = (
         orders.join(people, "c_custkey")
         .withColumn("chunk", _scatter(F.col("o_orderkey")) % page_count)
+        .withColumn("earlier", (F.col("o_orderkey") % 5 == 0) & (F.col("chunk") > 0))
+        .withColumn("back", F.explode(F.expr("IF(earlier, array(0, 1), array(0))")))
+        .withColumns({"chunk": F.col("chunk") - F.col("back"), "views": F.col("views") + 7 * F.col("back")})
+        .drop("earlier", "back")
         .repartition("c_custkey", "chunk")
     )
     post = F.struct("o_orderkey", "views", "created", "o_orderpriority")
@@ -82,7 +93,7 @@ def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("chunk"),
         F.array().cast(full.schema["posts"].dataType).alias("posts"),
     )
-    return full.unionByName(empty)
+    return full.unionByName(empty).withColumn("followers", F.col("followers") + F.col("chunk"))
 
 
 def render_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,6 +307,7 @@ def landed_path(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         path = scratch_dir(spark, "pages")
-        render_pages(spark, sf_dir).write.parquet(path)
+        files = max(LANDED_FILES, spark.sparkContext.defaultParallelism)
+        render_pages(spark, sf_dir).repartition(files, "path").write.parquet(path)
         _landed[key] = path
     return _landed[key]

@@ -21,13 +21,18 @@ creator AS (
 _PAGE = (
     _CREATOR
     + """,
-post_row AS (
-  SELECT creator.*, o_orderkey * 387420489 % 1000000007 % chunks AS chunk, CAST(o_orderkey AS VARCHAR) AS id, o_orderkey,
+own_post AS (
+  SELECT creator.*, o_orderkey % 1000000007 * 387420489 % 1000000007 % chunks AS chunk,
+         CAST(o_orderkey AS VARCHAR) AS id, o_orderkey,
          CAST(floor(o_totalprice) AS BIGINT) AS views, o_orderpriority,
          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso
   FROM orders JOIN creator ON o_custkey = c_custkey),
+post_row AS (
+  SELECT * FROM own_post
+  UNION ALL
+  SELECT * REPLACE (chunk - 1 AS chunk, views + 7 AS views) FROM own_post WHERE o_orderkey % 5 = 0 AND chunk > 0),
 page AS (
-  SELECT creator.*, chunk, posts,
+  SELECT creator.* REPLACE (followers + chunk AS followers), chunk, posts,
          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c_custkey + chunk * 1000000) AS created,
          'profiles/' || username || '/' || strftime(TIMESTAMP '2024-01-01 00:00:00'
            + to_seconds(c_custkey + chunk * 1000000), '%Y%m%d-%H%M%S') || '.html' AS path
@@ -76,7 +81,7 @@ page_profile AS (
   SELECT html_profile.* FROM html_profile JOIN page USING (path) WHERE shape IN (5, 6, 8, 9))"""
 _VIDEO = """
 json_video AS (
-  SELECT path, created, o_orderkey,
+  SELECT path, created, o_orderkey, username,
     'https://www.tiktok.com/@' || CASE shape WHEN 6 THEN 'N/A' ELSE username END
       || '/video/' || id AS url,
     views,
@@ -89,7 +94,7 @@ json_video AS (
   FROM post
   WHERE shape IN (0, 1, 2, 3, 4, 6, 11) OR (shape = 10 AND pos <= 2)),
 html_video AS (
-  SELECT path, created, o_orderkey, 'https://host.example/@' || username || '/video/' || id AS url,
+  SELECT path, created, o_orderkey, username, 'https://host.example/@' || username || '/video/' || id AS url,
     views, 'https://img.example/v' || id || '.jpg' AS thumbnail, o_orderpriority AS description,
     'N/A' AS create_time, views // 10 AS like_count, views // 100 AS comment_count,
     views // 1000 AS share_count
@@ -102,14 +107,14 @@ _VIDEO_COLUMNS = """url, views, thumbnail, description, create_time, like_count,
 # The tables after all pages: one row per key, the page with the last time wins.
 _TABLES = f"""
 profiles AS (
-  SELECT {_PROFILE_COLUMNS} FROM page_profile WHERE username <> 'N/A'
+  SELECT {_PROFILE_COLUMNS}, created AS scrape_timestamp FROM page_profile WHERE username <> 'N/A'
   QUALIFY row_number() OVER (PARTITION BY username ORDER BY created DESC) = 1),
 videos AS (
-  SELECT {_VIDEO_COLUMNS} FROM page_video
+  SELECT {_VIDEO_COLUMNS}, username FROM page_video
   QUALIFY row_number() OVER (PARTITION BY url ORDER BY created DESC, path DESC) = 1)"""
 _SCRAPE = """
 scrape AS (
-  SELECT event_id * 387420489 % 1000000007 AS arrival, 'user' || user_id AS username,
+  SELECT event_id % 1000000007 * 387420489 % 1000000007 AS arrival, 'user' || user_id AS username,
     CAST(user_id AS VARCHAR) AS user_id, event_type AS actual_name,
     CAST(0 AS BIGINT) AS following_count, CAST(round(value * 100) AS BIGINT) AS follower_count,
     CAST(0 AS BIGINT) AS total_like_count, props AS caption, 'No link' AS bio_link,
@@ -430,7 +435,7 @@ ORACLES["merge_profiles"] = _merged(
 
 ORACLES["merge_videos"] = _merged(
     """WITH log AS (
-  SELECT (l_orderkey * 8 + l_linenumber) * 387420489 % 1000000007 AS arrival,
+  SELECT (l_orderkey * 8 + l_linenumber) % 1000000007 * 387420489 % 1000000007 AS arrival,
     'https://host.example/@user' || l_suppkey || '/video/' || l_partkey AS url,
     CAST(round(l_extendedprice) AS BIGINT) AS views, 't' || l_orderkey AS thumbnail,
     CASE WHEN l_linenumber % 3 <> 0 THEN l_linestatus END AS description,
@@ -442,7 +447,8 @@ ORACLES["merge_videos"] = _merged(
     "url",
 )
 
-ORACLES["stream_profiles"] = _DAY_OF_PAGE + f"\nSELECT {_PROFILE_COLUMNS} FROM profiles"
+ORACLES["stream_profiles"] = _DAY_OF_PAGE + f"\nSELECT {_PROFILE_COLUMNS}, scrape_timestamp FROM profiles"
+ORACLES["stream_two_feeds"] = ORACLES["stream_profiles"]
 ORACLES["stream_videos"] = _DAY_OF_PAGE + f"\nSELECT {_VIDEO_COLUMNS} FROM videos"
 
 # --- dashboard ----------------------------------------------------------------------------------
@@ -499,22 +505,20 @@ ORACLES["engagement_video"] = (
     _DAY_OF_PAGE + f"\nSELECT url, {_RATE.format('', '')} AS engagement_rate FROM videos"
 )
 
-_CREATOR_NAME = "regexp_extract(url, '@([^/]+)/video/', 1)"
-
 ORACLES["engagement_creator"] = (
     _DAY_OF_PAGE
     + f"""
-SELECT {_CREATOR_NAME} AS username, count(*) AS videos, {_RATE.format("sum(", ")")} AS engagement_rate
-FROM videos WHERE {_CREATOR_NAME} <> '' GROUP BY 1"""
+SELECT username, count(*) AS videos, {_RATE.format("sum(", ")")} AS engagement_rate
+FROM videos GROUP BY 1"""
 )
 
 ORACLES["creator_video_rollup"] = (
     _DAY_OF_PAGE
-    + f""",
+    + """,
 summed AS (
-  SELECT {_CREATOR_NAME} AS username, count(*) AS videos, CAST(sum(views) AS BIGINT) AS views,
+  SELECT username, count(*) AS videos, CAST(sum(views) AS BIGINT) AS views,
     CAST(sum(like_count) AS BIGINT) AS like_count
-  FROM videos WHERE {_CREATOR_NAME} <> '' GROUP BY 1)
+  FROM videos GROUP BY 1)
 SELECT username, follower_count, is_verified, videos, views, like_count
 FROM summed LEFT JOIN profiles USING (username)"""
 )

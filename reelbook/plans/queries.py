@@ -540,13 +540,13 @@ def stream_latest(spark, sf):
 
 
 def _store(spark: SparkSession, sf: str) -> CreatorStore:
-    """Landed pages streamed into a store and published, once per session and folder."""
+    """Landed pages streamed into a store file by file, published now and then."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _stores:
         landed = fx.landed_path(spark, sf)
-        store = CreatorStore(spark, scratch_dir(spark, "store"))
-        stream = landing.stream_table(spark, landed, files_per_batch=16)
-        start_ingest(stream, store, scratch_dir(spark, "ckpt")).awaitTermination()
+        store = CreatorStore(spark, scratch_dir(spark, "store"), order="event_time")
+        stream = landing.stream_table(spark, landed, files_per_batch=1)
+        start_ingest(stream, store, scratch_dir(spark, "ckpt"), publish_every=2).awaitTermination()
         store.publish()
         _stores[key] = store
     return _stores[key]
@@ -557,17 +557,32 @@ _stores: dict[tuple[str, str], CreatorStore] = {}
 
 @query
 def stream_profiles(spark, sf):
-    """Landed pages streamed to the profile table; the state is the same in any batching."""
-    found = quality.filter_invalid_profiles(_store(spark, sf).profiles.current())
-    return found.drop("scrape_timestamp")
+    """Landed pages streamed to the profile table; a creator's last page wins in any batching."""
+    return _wall(_profiles(spark, sf), "scrape_timestamp")
 
 
 @query
 def stream_videos(spark, sf):
-    """Landed pages streamed to the video table."""
+    """Landed pages streamed to the video table; the last page of a video wins."""
     return _store(spark, sf).videos.current()
 
 
+@query
+def stream_two_feeds(spark, sf):
+    """Two folders of pages, each a stream with a checkpoint of its own, into one store."""
+    pages = fx.pages(spark, sf)
+    half = F.xxhash64("path") % 2 == 0
+    store = CreatorStore(spark, scratch_dir(spark, "store"), order="event_time")
+    for part in (half, ~half):
+        folder = scratch_dir(spark, "feed")
+        pages.filter(part).repartition(2, "path").write.parquet(folder)
+        stream = landing.stream_table(spark, folder, files_per_batch=1)
+        start_ingest(stream, store, scratch_dir(spark, "ckpt")).awaitTermination()
+        store.publish()
+    found = quality.filter_invalid_profiles(store.profiles.current())
+    return _wall(found, "scrape_timestamp")
+
+
 # --- dashboard ------------------------------------------------------------------------------
 
 
@@ -621,12 +636,12 @@ def engagement_video(spark, sf):
 
 @query
 def engagement_creator(spark, sf):
-    return dashboard.engagement_creator(_videos(spark, sf))
+    return dashboard.engagement_creator(_store(spark, sf).attributed_videos())
 
 
 @query
 def creator_video_rollup(spark, sf):
-    return dashboard.creator_video_rollup(_videos(spark, sf), _profiles(spark, sf))
+    return dashboard.creator_video_rollup(_store(spark, sf).attributed_videos(), _profiles(spark, sf))
 
 
 @query

@@ -56,3 +56,55 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     if target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
+
+
+class Store:
+    """Names and small files of a folder, in whatever file system Spark reads it from."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._context, self.root = spark.sparkContext, root.rstrip("/")
+
+    def _at(self, name: str):
+        target = self._context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return target.getFileSystem(self._context._jsc.hadoopConfiguration()), target
+
+    def names(self, name: str) -> list[str]:
+        """What lies directly in a folder; nothing if it is not there."""
+        system, target = self._at(name)
+        return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
+
+    def exists(self, name: str) -> bool:
+        system, target = self._at(name)
+        return system.exists(target)
+
+    def read(self, name: str) -> str:
+        """Content of a small file; empty if it is not there."""
+        system, target = self._at(name)
+        if not system.exists(target):
+            return ""
+        stream = system.open(target)
+        try:
+            return self._context._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str) -> None:
+        """Put a small file in its place at once: a reader sees all of it or none."""
+        system, target = self._at(name)
+        draft = self._at(f"{name}.{uuid.uuid4().hex}.draft")[1]
+        stream = system.create(draft, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if system.exists(target):
+            system.delete(target, False)
+        system.rename(draft, target)
+
+    def claim(self, name: str) -> bool:
+        """Create an empty file; False if it was there, so that only one caller gets it."""
+        system, target = self._at(name)
+        system.mkdirs(target.getParent())
+        return system.createNewFile(target)
+
+    def remove(self, name: str) -> None:
+        system, target = self._at(name)
+        system.delete(target, True)

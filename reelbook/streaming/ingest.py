@@ -14,7 +14,7 @@ from reelbook.operators import quality
 from reelbook.operators.extract import extract_pages, profile_rows, video_rows
 from reelbook.operators.upsert import LatestTable, latest
 from reelbook.schemas import PROFILE_KEY, PROFILE_SCHEMA, VIDEO_KEY, VIDEO_SCHEMA
-from reelbook.session import read_if_there
+from reelbook.session import Store, read_if_there
 from reelbook.sources import landing, messages, processed
 from reelbook.sources.landing import PAGE_SCHEMA
 
@@ -26,7 +26,8 @@ class CreatorStore:
 
     ``extracted/batch_id=N`` holds the result of each batch of pages; the two
     tables, the quarantine and the profile history are all read from it, so a
-    page is parsed once.
+    page is parsed once. ``N`` counts the batches of the whole store: any number of
+    streams may feed it, at the same time or one after another.
     """
 
     def __init__(
@@ -36,33 +37,62 @@ class CreatorStore:
         self.profiles = LatestTable(
             spark, f"{self.root}/profiles", PROFILE_SCHEMA, PROFILE_KEY, order
         )
-        self.videos = LatestTable(spark, f"{self.root}/videos", VIDEO_SCHEMA, VIDEO_KEY, order)
+        # the name on the page a video was seen on, for those whose URL names nobody
+        seen_on = [T.StructField("username", T.StringType())]
+        self.videos = LatestTable(
+            spark, f"{self.root}/videos", VIDEO_SCHEMA, VIDEO_KEY, order, more=seen_on
+        )
+        self._numbers = Store(spark, f"{self.root}/numbers")
         self._extracted = extract_pages(spark.createDataFrame([], PAGE_SCHEMA)).schema
 
-    def take(self, pages: DataFrame, batch_id: int) -> dict[str, int]:
+    def number(self, stream: str, batch_id: int) -> int:
+        """The store's number of a stream's batch: a new one, or that given to it before."""
+        known = self._numbers.read(f"of/{stream}-{batch_id}")
+        if known:
+            return int(known)
+        number = 1 + max([-1, *map(int, self._numbers.names("taken"))])
+        while not self._numbers.claim(f"taken/{number}"):
+            number += 1
+        self._numbers.write(f"of/{stream}-{batch_id}", str(number))
+        return number
+
+    def take(self, pages: DataFrame, batch_id: int, stream: str = "given") -> dict[str, int]:
         """Extract a batch of pages and put it into both tables. Safe to repeat.
 
-        With ``json_root`` the records are also written as JSON lines. Returns
-        counts of the batch.
+        A batch is named by its stream and its number there. With ``json_root`` the
+        records are also written as JSON lines. Returns counts of the batch.
         """
-        path = f"{self.root}/extracted/batch_id={batch_id}"
+        number = self.number(stream, batch_id)
+        path = f"{self.root}/extracted/batch_id={number}"
         extracted, counts = quality.observed(extract_pages(pages))
         extracted.write.mode("overwrite").parquet(path)
         done = self.spark.read.schema(self._extracted).parquet(path)
         origin = done.withColumnsRenamed({"path": "page_path", "time_created": "page_time"})
         profiles = profile_rows(origin, "page_path", "page_time")
-        self.profiles.append(profiles.withColumn("position", F.lit(0)), batch_id)
-        self.videos.append(video_rows(origin, "page_path", "page_time", position=True), batch_id)
+        self.profiles.append(profiles.withColumn("position", F.lit(0)), number)
+        named = origin.withColumn("username", F.nullif("profile.username", F.lit("N/A")))
+        videos = video_rows(named, "page_path", "page_time", "username", position=True)
+        self.videos.append(videos, number)
         if self.json_root:
             for name, rows in (("profiles", profile_rows(done)), ("videos", video_rows(done))):
-                target = f"{self.json_root}/{name}/batch_id={batch_id}"
+                target = f"{self.json_root}/{name}/batch_id={number}"
                 processed.write_json(rows, target, mode="overwrite")
         return counts.get
 
     def extracted(self) -> DataFrame:
-        """Page rows of all batches."""
+        """Page rows of all batches; of a page landed more than once the last.
+
+        Paths that occur twice are found from the paths alone; only their rows are compared.
+        """
         schema = T.StructType([*self._extracted.fields, T.StructField("batch_id", T.LongType())])
-        return read_if_there(self.spark, f"{self.root}/extracted", schema)
+        rows = read_if_there(self.spark, f"{self.root}/extracted", schema)
+        twice = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1").select("path")
+        again = latest(rows.join(twice, "path", "left_semi"), "path", ["time_created", "batch_id"])
+        return rows.join(twice, "path", "left_anti").unionByName(again)
+
+    def attributed_videos(self) -> DataFrame:
+        """The video table with the ``username`` of the page that each row was seen on."""
+        return self.videos.current(*self.videos.columns, "username")
 
     def profile_log(self) -> DataFrame:
         """All extracted profiles, not only the latest."""
@@ -77,6 +107,17 @@ class CreatorStore:
         self.profiles.publish()
         self.videos.publish()
 
+    def drop_folded(self) -> None:
+        """Remove logs and old snapshots of both tables that the newest snapshots replace."""
+        self.profiles.drop_folded()
+        self.videos.drop_folded()
+
+
+def _stream_id(batch: DataFrame) -> str:
+    """Id of the stream that runs this batch: it lives in the checkpoint, so a restart keeps it
+    and a new checkpoint has another."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
 
 def start_ingest(
     pages: DataFrame,
@@ -87,13 +128,14 @@ def start_ingest(
 ) -> StreamingQuery:
     """Feed a stream of pages into a store, one batch per trigger.
 
-    The batch number names the folders a batch writes, so a batch that is run
-    again after a failure replaces what it wrote before. Every
-    ``publish_every`` batches the tables fold their logs into new snapshots.
+    The stream's id and the batch number name what a batch writes, so a batch that
+    is run again after a failure replaces what it wrote before, and streams do not
+    get in each other's way. Every ``publish_every`` batches the tables fold their
+    logs into new snapshots.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = store.take(batch, batch_id)
+        counts = store.take(batch, batch_id, _stream_id(batch))
         logger.info("batch %s: %s", batch_id, counts)
         if publish_every and (batch_id + 1) % publish_every == 0:
             store.publish()
@@ -112,16 +154,17 @@ def start_landing(
     """Trigger messages to landed pages: decode, ``fetch``, append to the landing table.
 
     ``fetch`` maps a DataFrame with ``url`` to ``url, html, fetched_at``. Messages
-    that cannot be decoded go to ``<landing_path>-rejected``.
+    that cannot be decoded go to ``<landing_path>-rejected``. Folders are named by
+    the stream's id and the batch, so several streams may land in one place.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         decoded = messages.decode(batch)
         rejected = decoded.filter(F.col("url").isNull()).select("data", "publish_time")
-        rejected.write.mode("overwrite").parquet(f"{landing_path}-rejected/batch_id={batch_id}")
+        name = f"batch={_stream_id(batch)}-{batch_id}"
+        rejected.write.mode("overwrite").parquet(f"{landing_path}-rejected/{name}")
         fetched = fetch(decoded.filter(F.col("url").isNotNull()))
-        target = f"{landing_path}/batch_id={batch_id}"
-        landing.land(fetched).write.mode("overwrite").parquet(target)
+        landing.land(fetched).write.mode("overwrite").parquet(f"{landing_path}/{name}")
 
     writer = triggers.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()

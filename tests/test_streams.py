@@ -133,3 +133,64 @@ def test_latest_state_as_a_stream(spark):
         stream, "username", ["arrival"], scratch_dir(spark, "out"), scratch_dir(spark, "ckpt")
     )
     assert rows(state) == rows(latest(log, "username", ["arrival"]))
+
+
+@pytest.mark.parametrize("publish", [False, True])
+def test_two_streams_feed_one_store(spark, publish):
+    """Each has a checkpoint of its own, so both count their batches from 0."""
+    store = CreatorStore(spark, scratch_dir(spark, "store"), json_root=scratch_dir(spark, "json"))
+    for name in ("ann", "bob", "ann"):
+        folder = scratch_dir(spark, "feed")
+        html = script(detail(userInfo=info(uniqueId=name), posts=[post(f"{name}1")]))
+        page = spark.createDataFrame([(f"profiles/{name}/t.html", html)], "path string, html string")
+        page.selectExpr("*", "now() AS time_created").write.parquet(folder)
+        checkpoint = scratch_dir(spark, "ckpt")
+        stream = landing.stream_table(spark, folder)
+        start_ingest(stream, store, checkpoint).awaitTermination()
+        if publish:
+            store.publish()
+    assert sorted(r.username for r in store.profiles.current().collect()) == ["ann", "bob"]
+    assert store.videos.current().count() == 2
+    assert store.attributed_videos().select("username").distinct().count() == 2
+    # ann's page was landed twice under one path: it counts once
+    assert sorted(r.username for r in store.profile_log().collect()) == ["ann", "bob"]
+    assert store.extracted().select("batch_id").distinct().count() == 2
+    assert spark.read.json(f"{store.json_root}/profiles").count() == 3
+
+
+def test_replay_after_publishing(spark):
+    page = lambda name: spark.createDataFrame(
+        [(f"profiles/{name}/t.html", script(detail(userInfo=info(uniqueId=name))))], "path string, html string"
+    ).selectExpr("*", "now() AS time_created")
+    store = CreatorStore(spark, scratch_dir(spark, "store"))
+    store.take(page("ann"), 0, "one")
+    store.take(page("bob"), 0, "two")
+    store.publish()
+    store.take(page("ann"), 0, "one")
+    assert store.number("one", 0) == 0 and store.number("two", 0) == 1
+    assert store.profiles.current().count() == 2 and store.extracted().count() == 2
+
+
+def test_two_streams_land_in_one_folder(spark, tmp_path):
+    landed = scratch_dir(spark, "landed")
+    for name in ("ann", "bob"):
+        source = tmp_path / name
+        source.mkdir()
+        data = base64.b64encode(f"https://h.example/@{name}".encode()).decode()
+        (source / "m.json").write_text(json.dumps({"data": data, "publish_time": "2024-05-01T10:00:00Z"}))
+        fetch = lambda wanted: wanted.selectExpr("url", "'x' AS html", "publish_time AS fetched_at")
+        start_landing(
+            messages.stream_messages(spark, str(source)), fetch, landed, scratch_dir(spark, "ckpt")
+        ).awaitTermination()
+    assert landing.read_table(spark, landed).count() == 2
+
+
+def test_first_wins_would_show(spark):
+    """Creators' pages differ and videos repeat, so that keeping the first row is not the same."""
+    pages = extract_profiles(fx.pages(spark, SF_DIR)).filter("username <> 'N/A'")
+    ends = pages.groupBy("username").agg(
+        F.min_by("follower_count", "scrape_timestamp").alias("first"),
+        F.max_by("follower_count", "scrape_timestamp").alias("last"),
+    )
+    assert ends.filter("first <> last").count() > 10
+    assert landing.read_table(spark, fx.landed_path(spark, SF_DIR)).inputFiles().__len__() >= 4
