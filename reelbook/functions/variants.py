@@ -75,15 +75,15 @@ def typed(value: Column, sql_type: str) -> Column:
 def loads_as(value: Column, sql_type: str) -> Column:
     """Whether a value can be loaded into a column of ``sql_type``.
 
-    Missing and null always load. Numbers must be whole and fit 64 bits, text
+    Missing and null always load. Numbers must be whole, however they are spelled, and fit 64 bits, text
     columns take any scalar, boolean columns take the usual spellings.
     """
     if sql_type == "bigint":
-        fits = F.coalesce(
-            text_of(value).rlike(r"^[+-]?[0-9]+(\.0+)?$")
-            & F.try_variant_get(value, "$", "bigint").isNotNull(),
-            F.lit(False),
-        )
+        spelled = text_of(value).rlike(r"^[+-]?[0-9]+(\.0+)?$")
+        number = F.try_variant_get(value, "$", "double")
+        whole = kind(value).isin("DOUBLE", "FLOAT", "DECIMAL") & (number == F.floor(number))
+        in_range = F.try_variant_get(value, "$", "bigint").isNotNull()
+        fits = F.coalesce((spelled | whole) & in_range, F.lit(False))
     elif sql_type == "boolean":
         fits = F.coalesce(F.lower(text_of(value)).isin(*TRUE_TEXT, *FALSE_TEXT), F.lit(False))
     else:

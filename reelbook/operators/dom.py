@@ -53,7 +53,8 @@ def page_nodes(
         return pa.array((read(page.as_py()) for page in pages), type=arrow_type)
 
     read_batch.__annotations__ = {"pages": pa.Array, "return": pa.Array}
-    return F.arrow_udf(read_batch, PAGE_TYPE)(html)
+    # Marked as not deterministic, so that no filter or size test repeats the reading below it.
+    return F.arrow_udf(read_batch, PAGE_TYPE).asNondeterministic()(html)
 
 
 # --- selectors ------------------------------------------------------------------

@@ -119,18 +119,19 @@ def _walk(pieces: Column, kinds: Column) -> Column:
 
 
 def parse(body: Column) -> Column:
-    """VARIANT ``[document, length]``; NULL if the text is not exactly one JSON value.
+    """VARIANT ``[document, digest]``; NULL if the text is not exactly one JSON value.
 
     The parser stops after the first value. Placing the text in an array in front
-    of its own length makes trailing text break the array (see :func:`is_whole`).
+    of its own digest makes trailing text break the array (see :func:`is_whole`).
     """
-    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(","), F.length(body), F.lit("]")))
+    end = F.concat(F.lit(',"'), F.sha2(body, 256), F.lit('"]'))
+    return F.try_parse_json(F.concat(F.lit("["), body, end))
 
 
 def is_whole(doc: Column, body: Column) -> Column:
     """Whether ``parse(body)`` holds one document and nothing after it."""
     return F.coalesce(
-        (F.try_variant_get(doc, "$[1]", "bigint") == F.length(body))
+        (F.try_variant_get(doc, "$[1]", "string") == F.sha2(body, 256))
         & F.variant_get(doc, "$[2]", "variant").isNull(),
         F.lit(False),
     )
@@ -279,10 +280,17 @@ def posts(doc: Column, body: Column, *places_and_lists: Column) -> Column:
 
 
 def item_module_posts(body: Column) -> Column:
-    """Values of the root map of posts, in document order (VARIANT objects sort their keys)."""
-    text = F.get_json_object(body, f"$.{ITEM_MODULE_KEY}")
-    values = F.map_values(F.from_json(text, "map<string,variant>"))
-    return F.transform(values, lambda post: F.try_variant_get(post, "$", _POST))
+    """Values of the root map of posts, in document order (VARIANT objects sort their keys).
+
+    Of a repeated key the last value counts, at the place of the first; of several
+    such maps the last.
+    """
+    root = F.map_entries(F.from_json(body, "map<string,string>"))
+    maps = F.filter(root, lambda entry: entry["key"] == ITEM_MODULE_KEY)
+    text = F.element_at(maps, -1)["value"]
+    # building the map anew settles repeated keys as `spark.sql.mapKeyDedupPolicy` says
+    posts = F.map_from_entries(F.map_entries(F.from_json(text, "map<string,variant>")))
+    return F.transform(F.map_values(posts), lambda post: F.try_variant_get(post, "$", _POST))
 
 
 def readings(rows: Column) -> Column:

@@ -150,7 +150,12 @@ def _html(shape: Column, username: Column) -> Column:
         "posts",
         lambda p, index: F.concat(F.lit('"'), p["o_orderkey"], F.lit('":'), post(p, index)),
     )
-    module = F.concat(F.lit("{"), F.array_join(keyed, ","), F.lit("}"))
+    # the first key is there twice, and so is the map: the last of each counts
+    stale = F.when(
+        F.size("posts") > 0,
+        F.concat(F.lit('"'), F.get("posts", F.lit(0))["o_orderkey"], F.lit('":{"id":"0","createTime":1},')),
+    ).otherwise("")
+    module = F.concat(F.lit("{"), stale, F.array_join(keyed, ","), F.lit("}"))
     user = F.when(
         shape == 11,
         F.concat(
@@ -190,10 +195,13 @@ def _html(shape: Column, username: Column) -> Column:
         .when(shape == 4, F.lit('"posts":null'))
         .otherwise(F.concat(F.lit('"posts":'), listed))
     )
-    root = F.when(shape == 4, F.concat(F.lit(',"ItemModule":'), module)).otherwise("")
+    stale_map = ',"ItemModule":{"0":{"id":"0","createTime":1}},"ItemModule":'
+    root = F.when(shape == 4, F.concat(F.lit(stale_map), module)).otherwise("")
+    # what comes too early, and what comes too late
+    broken = F.when(F.col("c_custkey") % 24 == 7, ",").otherwise("},5]")
     document = F.concat(
         F.lit('{"__DEFAULT_SCOPE__":{"webapp.user-detail":{'), info, lists, F.lit("}}"), root,
-        F.when(shape == 7, F.lit(",")).otherwise("}"),
+        F.when(shape == 7, broken).otherwise("}"),
     )
     # A commented copy and an earlier script must not be taken for the document.
     script = F.concat(

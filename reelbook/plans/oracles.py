@@ -451,6 +451,32 @@ ORACLES["stream_profiles"] = _DAY_OF_PAGE + f"\nSELECT {_PROFILE_COLUMNS}, scrap
 ORACLES["stream_two_feeds"] = ORACLES["stream_profiles"]
 ORACLES["stream_videos"] = _DAY_OF_PAGE + f"\nSELECT {_VIDEO_COLUMNS} FROM videos"
 
+ORACLES["object_stream"] = "SELECT 'page' || page_id AS creator, md5(html) AS html_md5 FROM pages"
+ORACLES["stream_chain"] = (
+    _DAY_OF_PAGE
+    + """
+SELECT username, follower_count,
+  TIMESTAMP '2024-06-01 00:00:00' + to_seconds(CAST(substr(username, 5) AS BIGINT)) AS scrape_timestamp
+FROM profiles WHERE CAST(substr(username, 5) AS BIGINT) % 50 <> 1
+UNION ALL
+SELECT 'rejected', NULL, TIMESTAMP '2024-06-01 00:00:00' + to_seconds(c_custkey)
+FROM customer WHERE c_custkey % 50 = 1"""
+)
+ORACLES["catalog_tables"] = ORACLES["stream_videos"]
+ORACLES["profile_history"] = (
+    _DAY_OF_PAGE
+    + """
+SELECT username, CAST(created AS DATE) AS day, arg_max(follower_count, created) AS follower_count,
+  count(*) AS scrapes
+FROM page_profile WHERE username <> 'N/A' GROUP BY 1, 2"""
+)
+ORACLES["quarantine_inputs"] = """
+SELECT CASE event_id % 5 WHEN 1 THEN '' ELSE 'profiles/user' || user_id || '/' END || event_id || '.html' AS path,
+  CASE event_id % 5 WHEN 3 THEN 'videos' ELSE 'page' END AS scope,
+  CASE event_id % 5 WHEN 0 THEN 'invalid_utf8' WHEN 1 THEN 'path_without_folder'
+    WHEN 2 THEN 'unreadable_markup' ELSE 'video_value_kind' END AS reason
+FROM events WHERE event_id % 5 < 4"""
+
 # --- dashboard ----------------------------------------------------------------------------------
 
 ORACLES["followers_per_creator"] = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from reelbook.schemas import (
 )
 from reelbook.session import configure, scratch_dir
 from reelbook.sources import landing, messages, processed
-from reelbook.streaming.ingest import CreatorStore, run_latest, start_ingest
+from reelbook.streaming.ingest import CreatorStore, run_latest, start_ingest, start_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,7 +224,9 @@ def _shaped_pages(spark: SparkSession, sf: str) -> DataFrame:
         of_info(info(user(""), '{"followerCount":true}')),
     ]
     document = F.element_at(F.array(*shapes), (F.col("event_id") % len(shapes) + 1).cast("int"))
-    return fx.table(spark, sf, "events").select(
+    # one file may hold all events; each becomes a page
+    tasks = max(8, spark.sparkContext.defaultParallelism)
+    return fx.table(spark, sf, "events").repartition(tasks, "event_id").select(
         F.concat(F.lit("profiles/"), name, F.lit("/"), F.col("event_id"), F.lit(".html")).alias(
             "path"
         ),
@@ -583,6 +586,95 @@ def stream_two_feeds(spark, sf):
     return _wall(found, "scrape_timestamp")
 
 
+@query
+def object_stream(spark, sf):
+    """One object per page, read as a stream that ends when all are taken."""
+    root, out = scratch_dir(spark, "objects"), scratch_dir(spark, "taken")
+    raw = fx.table(spark, sf, "pages").select(
+        F.concat(F.lit("page"), F.col("page_id")).alias("creator"), "html"
+    )
+    raw.write.partitionBy("creator").text(root)
+    found = landing.stream_objects(spark, root, "*.txt", files_per_batch=1000)
+    writer = found.writeStream.format("parquet").option("path", out)
+    writer = writer.option("checkpointLocation", scratch_dir(spark, "ckpt"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    taken = landing.read_table(spark, out)
+    text = F.substring(F.col("html"), F.lit(1), F.length("html") - 1)  # the writer ends the line
+    folder = F.substring_index(tx.path_username(F.col("path")), "=", -1)
+    return taken.select(folder.alias("creator"), F.md5(text).alias("html_md5"))
+
+
+@query
+def stream_chain(spark, sf):
+    """Messages to landed pages to the profile table: two streams joined by the landing folder."""
+    url = F.concat(F.lit(f"{VIDEO_URL_BASE}/@user"), F.col("c_custkey"))
+    bad = F.when(F.col("c_custkey") % 50 == 1, "!").otherwise("")
+    sent = fx.table(spark, sf, "customer").select(
+        F.concat(F.base64(url.cast("binary")), bad).alias("data"),
+        F.timestamp_seconds(F.lit(1717200000) + F.col("c_custkey")).alias("publish_time"),
+    )
+    source = scratch_dir(spark, "messages")
+    sent.repartition(2, "data").write.json(source)
+    pages = fx.pages(spark, sf).withColumn("username", tx.path_username(F.col("path")))
+    web = latest(pages, "username", ["time_created"]).select("username", "html")
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        named = wanted.withColumn("username", tx.url_username(F.col("url")))
+        return named.join(web, "username").select("url", "html", F.col("publish_time").alias("fetched_at"))
+
+    landed = scratch_dir(spark, "landed")
+    messages_in = messages.stream_messages(spark, source, files_per_batch=1)
+    start_landing(messages_in, fetch, landed, scratch_dir(spark, "ckpt")).awaitTermination()
+    store = CreatorStore(spark, scratch_dir(spark, "store"))
+    start_ingest(landing.stream_table(spark, landed), store, scratch_dir(spark, "ckpt")).awaitTermination()
+    rejected = spark.read.schema(messages.MESSAGE_SCHEMA).parquet(f"{landed}-rejected")
+    profiles = quality.filter_invalid_profiles(store.profiles.current())
+    return profiles.select("username", "follower_count", "scrape_timestamp").unionByName(
+        rejected.select(
+            F.lit("rejected").alias("username"), F.lit(None).cast("bigint").alias("follower_count"),
+            F.col("publish_time").alias("scrape_timestamp"),
+        )
+    ).transform(_wall, "scrape_timestamp")
+
+
+@query
+def catalog_tables(spark, sf):
+    """Tables created in the catalog and filled from the store; a second filling replaces the first."""
+    database = f"creators_{uuid.uuid4().hex}"
+    processed.create_tables(spark, database, scratch_dir(spark, "catalog"))
+    rows = _videos(spark, sf)
+    for _ in range(2):
+        processed.publish_table(rows, f"{database}.videos")
+    return spark.table(f"{database}.videos")
+
+
+@query
+def profile_history(spark, sf):
+    """Follower count of each creator and day, from all pages that the store has taken."""
+    return dashboard.follower_history(quality.filter_invalid_profiles(_store(spark, sf).profile_log()))
+
+
+@query
+def quarantine_inputs(spark, sf):
+    """The reasons that lie outside the document: bytes, path, markup; and unloadable videos."""
+    number = F.col("event_id")
+    folder = F.concat(F.lit("profiles/user"), F.col("user_id"), F.lit("/"))
+    kind = number % 5
+    document = F.concat(
+        F.lit(f'<script id="{SCRIPT_ID}">{{"__DEFAULT_SCOPE__":{{"webapp.user-detail":'
+              '{"userInfo":{"user":{"uniqueId":"ann"},"stats":{}},"posts":[{"id":"1","createTime":1,'
+              '"video":{},"stats":{"playCount":'),
+        F.when(kind == 3, '"x"').otherwise("1e3"),
+        F.lit("}}]}}}</script>"),
+    )
+    pages = fx.table(spark, sf, "events").select(
+        F.concat(F.when(kind == 1, "").otherwise(folder), number, F.lit(".html")).alias("path"),
+        F.when(kind == 0, F.lit(None)).when(kind == 2, "<p><![foo[x").otherwise(document).alias("html"),
+        F.col("ts").cast("timestamp").alias("time_created"),
+    )
+    return quality.quarantine(pages).select("path", "scope", "reason")
+
+
 # --- dashboard ------------------------------------------------------------------------------
 
 

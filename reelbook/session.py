@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A JSON object that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Pages are large rows and their nodes larger still: bound an Arrow batch by bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",

@@ -24,9 +24,10 @@ def read_json(spark: SparkSession, path: str, name: str) -> DataFrame:
     return rows.withColumn(key, required)
 
 
-def create_tables(spark: SparkSession, database: str) -> None:
-    """Create the database and its two tables if they do not exist."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create the database (at ``location`` if given) and its two tables if they do not exist."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, (schema, _) in _TABLES.items():
         columns = ", ".join(_column(field) for field in schema.fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")

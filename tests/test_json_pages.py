@@ -1,5 +1,7 @@
 """One literal page per rule of the embedded document."""
 
+import json
+
 import pytest
 
 from pages import HEAD, detail, info, post, script, tile
@@ -270,3 +272,49 @@ def test_filters_of_the_caller(make_pages):
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1 and plan.count("ArrowEvalPython") == 1
     assert extract_videos(pages).filter("views = 0").count() == 1
+
+
+def body_script(body):
+    return f'<script id="__UNIVERSAL_DATA_FOR_REHYDRATION__">{body}</script>'
+
+
+def own_length():
+    """A document followed by ``,N]``, where N is the length of the whole text."""
+    document = json.dumps(detail(userInfo=info(), posts=[post("1")]))
+    for n in range(len(document), len(document) + 20):
+        if len(f"{document},{n}]") == n:
+            return body_script(f"{document},{n}]")
+
+
+@pytest.mark.page(own_length())
+def test_trailing_text_is_never_taken_for_the_end(row):
+    assert (row.fault, row.profile) == ("malformed_json", None)
+
+
+def repeated_keys():
+    document = detail(userInfo=info(), posts=None)
+    posts = [json.dumps(post(key)) for key in "123"]
+    body = json.dumps(document)[:-1]
+    stale = f',"ItemModule":{{"9":{posts[2]}}}'
+    last = f',"ItemModule":{{"b":{posts[2]},"a":{posts[0]},"b":{posts[1]}}}}}'
+    return body_script(body + stale + last)
+
+
+@pytest.mark.page(repeated_keys())
+def test_last_value_of_a_repeated_key_at_its_first_place(row):
+    assert [video.url[-1] for video in row.videos] == ["2", "1"]
+
+
+@pytest.mark.parametrize(
+    "html, count",
+    [
+        (body_script(json.dumps(detail(userInfo=info(stats={"followerCount": 7}))).replace(": 7", f": {text}")), count)
+        for text, count in [("1e10", 10**10), ("1e3", 1000), ("12345678901.0", 12345678901), ("1.5e1", 15),
+                            ("1.5", None), ("1e19", None), ("15e-1", None)]
+    ],
+)
+def test_whole_numbers_in_any_spelling(row, html, count):
+    if count is None:
+        assert row.fault == "profile_value_kind"
+    else:
+        assert row.profile.follower_count == count

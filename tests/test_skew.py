@@ -56,3 +56,19 @@ def test_pages_of_a_hot_creator_stay_small(spark, skewed):
 )
 def test_hot_key(spark, skewed, name):
     assert compare(spark, skewed, name, entry.queries()[name], entry.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("html_")])
+def test_markup_is_read_once(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_scattered_numbers_do_not_overflow(spark):
+    numbers = spark.range(10**12, 10**12 + 1000).select(fx._scatter(F.col("id")).alias("n"))
+    assert numbers.distinct().count() == 1000
+    assert numbers.filter(f"n < 0 OR n >= {fx.ARRIVALS}").count() == 0
+
+
+def test_shaped_documents_are_made_in_several_tasks(spark):
+    assert entry.queries()["json_shape_guard"](spark, SF_DIR).rdd.getNumPartitions() > 1
