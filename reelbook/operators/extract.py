@@ -8,7 +8,7 @@ pushed down and run the JSON parse or the markup UDF a second time.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,6 +110,8 @@ def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
         .withColumns(
             {
                 "lost_posts": F.coalesce(F.size("posts") - F.size("readable"), F.lit(0)),
+                # the number of json_videos, for those who need no more of them
+                "json_count": F.coalesce(F.size(F.filter("readable", lambda r: r["has_id"])), F.lit(0)),
                 "json_videos": over(
                     jsondoc.videos, "readable", "json_profile.username", url_base=url_base
                 ),
@@ -118,7 +120,9 @@ def from_json(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
     )
 
 
-def extract_pages(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame:
+def extract_pages(
+    pages: DataFrame, url_base: str = VIDEO_URL_BASE, columns: Sequence[str] | None = None
+) -> DataFrame:
     """One row per page of ``pages(path, html, time_created)``.
 
     Columns: ``path``, ``time_created``, ``path_username``, ``fault`` (why the page
@@ -127,9 +131,13 @@ def extract_pages(pages: DataFrame, url_base: str = VIDEO_URL_BASE) -> DataFrame
     ``json_videos`` (their number) and ``lost_posts``.
 
     The markup is parsed only for pages that need it: other pages hand the UDF a
-    NULL, in the same pass over the data.
+    NULL, in the same pass over the data. With ``columns`` only these (and the page
+    keys) are computed; leaving columns out afterwards does not save their work.
     """
-    return sealed(_extract(pages, url_base=url_base), *PAGE_KEYS)
+    rows = _extract(pages, url_base=url_base)
+    if columns is not None:
+        rows = rows.select(*PAGE_KEYS, *columns)
+    return sealed(rows, *PAGE_KEYS)
 
 
 def sealed(rows: DataFrame, *keys: str) -> DataFrame:
@@ -152,7 +160,7 @@ def _extract(
     no_json_profile = c("json_profile").isNull() | F.coalesce(
         c(f"json_profile.{PROFILE_KEY}") == PROFILE_DEFAULTS[PROFILE_KEY], F.lit(False)
     )
-    no_json_videos = F.coalesce(F.size("json_videos"), F.lit(0)) == 0
+    no_json_videos = c("json_count") == 0
     need = c("ask_profile") | c("ask_videos")
     good = c("fault").isNull()
     keep_videos = good & ~F.coalesce(c("video_fault") == "video_value_kind", F.lit(False))
@@ -202,7 +210,7 @@ def _extract(
             F.when(keep_videos & F.lit(videos), over(_video_records, "videos")).alias("videos"),
             source("ask_videos").alias("video_source"),
             "video_fault",
-            F.coalesce(F.size("json_videos"), F.lit(0)).alias("json_videos"),
+            c("json_count").alias("json_videos"),
             F.when(good, c("lost_posts")).otherwise(0).alias("lost_posts"),
         )
     )

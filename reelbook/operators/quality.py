@@ -30,12 +30,12 @@ def quarantine_rows(extracted: DataFrame) -> DataFrame:
 
 def quarantine(pages: DataFrame) -> DataFrame:
     """Everything :func:`extract.extract_pages` leaves out."""
-    return quarantine_rows(extract_pages(pages))
+    return quarantine_rows(extract_pages(pages, columns=["fault", "video_fault", "lost_posts"]))
 
 
 def extraction_counts(pages: DataFrame) -> DataFrame:
     """Per page: number of videos from the document, from the markup, and kept."""
-    extracted = extract_pages(pages)
+    extracted = extract_pages(pages, columns=["videos", "video_source", "json_videos"])
     total = F.coalesce(F.size("videos"), F.lit(0))
     from_html = F.when(F.col("video_source") == "html", total).otherwise(0)
     return extracted.select(

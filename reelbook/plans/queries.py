@@ -238,7 +238,7 @@ def _shaped_pages(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def json_shape_guard(spark, sf):
     """Documents with a null, a list or a number in place of an object, and unloadable values."""
-    return extract.extract_pages(_shaped_pages(spark, sf)).select("path", "fault")
+    return extract.extract_pages(_shaped_pages(spark, sf), columns=["fault"]).select("path", "fault")
 
 
 @query
@@ -407,14 +407,14 @@ def html_alt_container(spark, sf):
 @query
 def fallback_profile(spark, sf):
     """Where each page's profile came from."""
-    done = extract.extract_pages(fx.pages(spark, sf))
+    done = extract.extract_pages(fx.pages(spark, sf), columns=["profile_source", "profile"])
     return done.select("path", "profile_source", F.col("profile.username").alias("username"))
 
 
 @query
 def fallback_videos(spark, sf):
     """Where each page's videos came from, and how many there are."""
-    done = extract.extract_pages(fx.pages(spark, sf))
+    done = extract.extract_pages(fx.pages(spark, sf), columns=["video_source", "videos"])
     videos = F.coalesce(F.size("videos"), F.lit(0)).cast("bigint")
     return done.select("path", "video_source", videos.alias("videos"))
 

@@ -72,3 +72,10 @@ def test_scattered_numbers_do_not_overflow(spark):
 
 def test_shaped_documents_are_made_in_several_tasks(spark):
     assert entry.queries()["json_shape_guard"](spark, SF_DIR).rdd.getNumPartitions() > 1
+
+
+@pytest.mark.parametrize("name", ["fallback_profile", "json_shape_guard"])
+def test_videos_that_nobody_reads_are_not_built(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "thumbnail" not in plan
+    assert plan.count("ArrowEvalPython") == 1

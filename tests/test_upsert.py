@@ -187,6 +187,22 @@ def test_last_landed(spark):
     assert rows(found) == [("a", "2"), ("b", "3"), ("c", "5"), ("d", "6")]
 
 
+def test_last_landed_of_files(spark):
+    landed = [("a", "1", 10), ("a", "2", 20), ("b", "3", 5), ("c", "4", 7), ("c", "5", 7), ("c", "9", 6), ("d", "6", None)]
+    path = scratch_dir(spark, "landed")
+    spark.createDataFrame(landed, "path string, html string, t bigint").selectExpr(
+        "path", "html", "timestamp_seconds(t) time_created"
+    ).repartition(3).write.parquet(path)
+    found = landing.last_landed(landing.read_table(spark, path))
+    got = rows(found.select("path", "html"))
+    assert [r for r in got if r[0] != "c"] == [("a", "2"), ("b", "3"), ("d", "6")]
+    assert [r[1] in "45" for r in got if r[0] == "c"] == [True]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "parquet" in line and "Relation" in line]
+    executed = found._jdf.queryExecution().sparkPlan().toString()
+    assert executed.count("html:string") == 1 and len(scans) == 2
+
+
 def test_json_read_is_strict(spark, tmp_path):
     good = '{"url":"u","views":1,"description":null}\n'
     for name, text in (("good", good), ("bad", good + '{"url":"u","views":"x"}\n'),
