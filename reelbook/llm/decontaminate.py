@@ -172,7 +172,7 @@ def _automata(items: DataFrame, key: str, text: str, block_words: int):
     """Broadcast automata, each of a bounded number of item words.
 
     The items stream through the driver block by block; only one automaton is in
-    the making at a time.
+    the making at a time. An item of more words is a block of its own.
     """
     context = items.sparkSession.sparkContext
     rows = items.select(items[key].cast("string").alias("k"), items[text].cast("binary").alias("t"))

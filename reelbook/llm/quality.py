@@ -103,14 +103,15 @@ def thresholds(rows: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> D
     by_large = groups.groupBy(large).agg(*merged).select(
         F.col(large).alias("__large"), *(F.col(c).alias(f"__1_{c}") for c in ("n", *MEASURES))
     )
-    by_all = groups.agg(*merged).select(*(F.col(c).alias(f"__2_{c}") for c in ("n", *MEASURES)))
-    levels = groups.join(by_large, F.col(large).eqNullSafe(F.col("__large")), "left").join(by_all, F.lit(True), "left")
+    # one row, of four sketches of bounded size
+    whole = groups.agg(*merged).first()
+    levels = groups.join(by_large, F.col(large).eqNullSafe(F.col("__large")), "left")
     out: list[Column] = [*map(F.col, keys), F.col("n")]
     for m, (side, least) in MEASURES.items():
         sketch = (
             F.when(F.col("n") >= GROUP_ROWS, F.col(m))
             .when(F.col("__1_n") >= GROUP_ROWS, F.col(f"__1_{m}"))
-            .otherwise(F.col(f"__2_{m}"))
+            .otherwise(F.lit(None if whole[m] is None else bytes(whole[m])).cast("binary"))
         )
         n = F.kll_sketch_get_n_double(sketch)
         q1, q3 = (F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(r))) for r in (0.25, 0.75))
