@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reelbook.llm import decontaminate, mixing, quality, sharding, similarity
-from reelbook.llm.common import saved, table
+from reelbook.llm.common import discarding, saved, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; the working tables of a stage go when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with discarding(spark):
+            docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"), stay=True)
     return STAGES[-1][1](spark, docs, sf_dir)
