@@ -217,9 +217,12 @@ WITH doc AS (
     list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> '') AS words,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ \t-\r]')) AS lines
   FROM documents),
+word AS (SELECT r, generate_subscripts(words, 1) AS i, unnest(words) AS w FROM doc),
+three AS (
+  SELECT r, i, w, lead(w) OVER next AS second, lead(w, 2) OVER next AS third
+  FROM word WINDOW next AS (PARTITION BY r ORDER BY i)),
 gram AS (
-  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n
-  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM doc)),
+  SELECT r, i, count(*) OVER (PARTITION BY r, w, second, third) AS n FROM three WHERE third IS NOT NULL),
 again AS (
   SELECT r, count(DISTINCT w) AS n_repeat_words
   FROM (SELECT r, unnest(range(i, i + 3)) AS w FROM gram WHERE n > 1) GROUP BY r),
@@ -228,7 +231,7 @@ counted AS (
     length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(lines) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM doc LEFT JOIN again USING (r)),
-measured AS (
+measured AS MATERIALIZED (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     coalesce(n_symbols / nullif(word_chars, 0), 0) AS symbol_share, coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS line_share,
     coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_share, coalesce(word_chars / nullif(n_words, 0), 0) AS word_length
