@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelbook.llm import decontaminate, mixing, pii, quality, secrets, sharding, similarity, tokens, toxicity, urls
+from reelbook.llm import (
+    decontaminate,
+    grammar,
+    mixing,
+    periodic,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    similarity,
+    tokens,
+    toxicity,
+    urls,
+    whitening,
+)
 from reelbook.llm.common import table
 
 
@@ -52,6 +66,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return grammar.id_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -65,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_quality_rules,
         op10_toxicity,
+        op11_whitening,
+        op12_periodic_runs,
+        op13_token_files,
     )
 }
 
