@@ -18,106 +18,67 @@ from reelbook.schemas import (
     VIDEO_URL_BASE,
 )
 
-# Attribute text of a tag; quoted values may hold '>'.
-_ATTRS = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
-_ATTR = r"""[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?"""
-_WANTED = rf"""(?i)^id\s*=\s*(?:"{SCRIPT_ID}"|'{SCRIPT_ID}'|{SCRIPT_ID})$"""
-_SCRIPT = rf"(?is)^<script{_ATTRS}>(.*)$"
-# Where a page is cut: in front of comment, script and style starts and ends.
-_CUT = (
-    r"(?i)(?=[<-])(?:(?=<!--|<(?:script|style)[\s/>]|</\s*(?:script|style)\s*>)"
-    r"|(?=--\s*>)(?<!<!)(?<!<!-))"
+# The constructs of a page, each consumed whole (possessively, so a page of any length is
+# read in one pass without a stack). Blanks and names are those of the markup reader.
+_S = r"[\s\x0B\x1C-\x1F\x85\xA0  -     　]"
+_NOT_S = _S.replace("[", "[^", 1)
+_SEP = rf"(?:{_S}|/(?!>))*+"
+_VALUE = rf"""(?:'[^']*+'|"[^"]*+"|(?!['"])(?:(?!>){_NOT_S})*+)"""
+_REST = rf"(?:{_S}*+=++{_S}*{_VALUE}{_S}*+|{_S}*=+{_S}*{_VALUE}{_S}*+)?+"
+_ATTR = rf"""(?<=['"\s\x0B\x1C-\x1F\x85\xA0  -     　/])(?:(?![/>]){_NOT_S})(?:(?![/=>]){_NOT_S})*+{_REST}{_SEP}"""
+_NAME_END = r"(?=[\t\n\r\f />])"
+_NAME = r"[a-zA-Z][^\t\n\r\f />\x00]*+"
+_ATTRS = rf"{_SEP}(?:{_ATTR})*+"
+# The last attribute `id` of a tag has the wanted value.
+_ID = rf"""(?<=['"\s/])(?i:id){_S}*+=++{_S}*+(?:"{SCRIPT_ID}"|'{SCRIPT_ID}'|{SCRIPT_ID}(?=>|{_S})){_S}*+{_SEP}"""
+_OTHER = rf"(?!(?i:id)(?:[/=>]|{_S})){_ATTR}"
+_LAST_ID = rf"{_ID}(?:{_OTHER})*+(?=/?>)"
+_WANTED = rf"<(?i:script){_NAME_END}{_SEP}(?:(?!{_LAST_ID}){_ATTR})*+{_LAST_ID}"
+_CLOSED = rf"</{_S}*+(?i:script){_S}*+>"
+_TOKENS = (
+    r"[^<&]++",
+    r"&(?!#)",
+    r"&#(?=(?:[0-9]+|[xX][0-9a-fA-F]+)[^0-9a-fA-F])",
+    r"<(?![a-zA-Z/!?])",
+    r"</[^>]*+>",
+    rf"<!--[\s\S]*?--{_S}*+>",
+    r"<\?[^>]*+>",
+    r"<!(?!--|\[)[^>]*+>",
+    rf"<!\[(?i:temp|cdata|ignore|include|rcdata)(?![-_.a-zA-Z0-9])[\s\S]*?\]{_S}*+\]{_S}*+>",
+    rf"<!\[(?i:if|else|endif)(?![-_.a-zA-Z0-9])[\s\S]*?\]{_S}*+>",
+    r"<!\[(?!(?i:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-_.a-zA-Z0-9]))",
+    # scripts and styles with their text, other tags, and tags cut short by a stray character
+    rf"(?!{_WANTED})<(?i:script){_NAME_END}{_ATTRS}>[\s\S]*?{_CLOSED}",
+    rf"<(?i:style){_NAME_END}{_ATTRS}>[\s\S]*?</{_S}*+(?i:style){_S}*+>",
+    rf"(?!{_WANTED}|<(?i:script|style){_NAME_END}{_ATTRS}>)<{_NAME}{_ATTRS}/?+>",
+    rf"<{_NAME}{_ATTRS}(?![>/=a-zA-Z]|\z)",
+)
+# What ends the first pass of the reader: an unknown character reference before some ';', or
+# a construct without an end. Such a construct is text up to the next '>', then and later.
+_OPEN = (
+    rf"(?=<!--(?![\s\S]*?--{_S}*+>)|<!\[(?i:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-_.a-zA-Z0-9])"
+    rf"|<{_NAME}{_ATTRS}(?=/(?!>)|[=a-zA-Z]|\z))<[^>]*+>"
+)
+_TOKEN = "|".join(_TOKENS)
+_PAGE = (
+    rf"\A(?:{_TOKEN})*+(?:(?:&#(?=[^;]*+;)|{_OPEN})(?:{_TOKEN}|{_OPEN})*+)?+"
+    rf"{_WANTED}(?:/>|>([\s\S]*?){_CLOSED})"
 )
-# A start tag that does not close itself.
-_START = rf"(?i)^<(?:script|style){_ATTRS}(?<!/)>"
-_END = r"(?i)^</\s*(script|style)"
-_REGIONS = ("comment", "script", "style")
 
 
 def script_body(html: Column) -> Column:
     """Text of the first script with the wanted id; NULL if there is none or it is empty.
 
-    Pages without the id, which a plain substring test finds, are not looked at.
-    The others are cut in front of every start and end of a comment, script or
-    style, and one walk over the pieces finds the script: what lies in a comment
-    or in another script does not count, and neither does a start without an end.
+    Pages without the id, which a plain substring test finds, are not looked at. In the
+    others one pattern walks from construct to construct up to the script, so what
+    stands in a comment, a marked section, an attribute or another script does not
+    count; a wanted script that closes itself or never ends has no text. An id spelled
+    with character references is not seen.
     """
-    found = vr.let(
-        F.split(html, _CUT),
-        lambda pieces: vr.let(F.transform(pieces, _piece_kind), lambda kinds: _walk(pieces, kinds)),
-    )
-    body = vr.let(found, lambda text: F.when(text != "", text))
+    body = vr.let(F.regexp_extract(html, _PAGE, 1), lambda text: F.when(text != "", text))
     return F.when(F.contains(html, F.lit(SCRIPT_ID)), body)
 
 
-def _piece_kind(piece: Column) -> Column:
-    """What a piece starts or ends. The first letters decide which pattern is tried,
-    so that no pattern is searched for in the text of other pieces."""
-    head = F.lower(F.substring(piece, 1, 7))
-    tag = lambda name: F.startswith(head, F.lit(f"<{name}")) & F.rlike(piece, F.lit(_START))
-    return (
-        F.when(F.startswith(head, F.lit("<!--")), "comment")
-        .when(F.startswith(head, F.lit("--")), "comment end")
-        .when(tag("script"), "script")
-        .when(tag("style"), "style")
-        .when(
-            F.startswith(head, F.lit("</")),
-            F.concat(F.lower(F.regexp_extract(piece, _END, 1)), F.lit(" end")),
-        )
-    )
-
-
-def _is_wanted(piece: Column) -> Column:
-    attrs = F.regexp_extract_all(F.regexp_extract(piece, _SCRIPT, 1), F.lit(_ATTR), F.lit(0))
-    return F.contains(piece, F.lit(SCRIPT_ID)) & F.exists(
-        attrs, lambda attr: F.rlike(attr, F.lit(_WANTED))
-    )
-
-
-def _walk(pieces: Column, kinds: Column) -> Column:
-    """Body of the wanted script from the pieces of a page and their kinds."""
-
-    def last_end(name: str) -> Column:
-        back = F.array_position(F.reverse(kinds), F.lit(f"{name} end")).cast("int")
-        return F.when(back > 0, F.size(kinds) - back).otherwise(-1).alias(name)
-
-    state = lambda region, start, end: F.struct(
-        region.alias("region"), start.alias("start"), end.alias("end")
-    )
-    none = F.lit(-1)
-    outside = state(F.lit("none"), none, none)
-    steps = F.arrays_zip(
-        kinds.alias("kind"),
-        F.sequence(F.lit(0), F.size(kinds) - 1).alias("place"),
-        F.transform(pieces, _is_wanted).alias("wanted"),
-    )
-
-    def step(at: Column, piece: Column, ends: Column) -> Column:
-        place, kind = piece["place"], piece["kind"]
-        opens = F.lit(False)
-        for name in _REGIONS:
-            opens = opens | ((kind == name) & (place < ends[name]))
-        closes = kind == F.concat(at["region"], F.lit(" end"))
-        start = F.when((kind == "script") & piece["wanted"], place).otherwise(none)
-        return (
-            F.when(at["end"] >= 0, at)
-            .when((at["region"] == "none") & opens, state(kind, start, none))
-            .when(closes & (at["start"] >= 0), state(at["region"], at["start"], place))
-            .when(closes, outside)
-            .otherwise(at)
-        )
-
-    def body(at: Column) -> Column:
-        first = F.regexp_extract(F.get(pieces, at["start"]), _SCRIPT, 2)
-        rest = F.slice(pieces, at["start"] + 2, at["end"] - at["start"] - 1)
-        return F.when(at["end"] >= 0, F.concat(first, F.array_join(rest, "")))
-
-    return vr.let(
-        F.struct(*[last_end(name) for name in _REGIONS]),
-        lambda ends: F.aggregate(steps, outside, lambda at, piece: step(at, piece, ends), body),
-    )
-
-
 def parse(body: Column) -> Column:
     """VARIANT ``[document, digest]``; NULL if the text is not exactly one JSON value.
 
