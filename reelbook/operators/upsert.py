@@ -69,10 +69,11 @@ class LatestTable:
     ``order="arrival"``: the later batch wins, whatever its page time.
     ``order="event_time"``: the later page wins, whatever its batch.
 
-    A batch number belongs to one batch: taking it again replaces it. A snapshot
-    is kept in ``buckets`` folders by the hash of the key; publishing rewrites only
-    those that newer batches touch. Which batches a snapshot holds is recorded
-    with it, so one that arrives late, below the newest number, still counts.
+    A batch number belongs to one batch: taking it again replaces it, and folding it
+    again changes nothing. A snapshot is kept in folders (buckets) by the hash of the
+    key, and publishing rewrites only those that newer batches touch. Their number
+    follows the size of the table: it doubles, and the table is rewritten once, when a
+    bucket would hold more than ``bucket_rows`` rows on average; ``buckets`` fixes it.
     ``more`` columns are stored beside those of the table and read when asked for.
     """
 
@@ -83,8 +84,9 @@ class LatestTable:
         schema: T.StructType,
         key: str,
         order: str = "arrival",
-        buckets: int = 32,
+        buckets: int | None = None,
         more: Sequence[T.StructField] = (),
+        bucket_rows: int = 500_000,
     ):
         if order not in ("arrival", "event_time"):
             raise ValueError(f"unknown order: {order}")
@@ -94,7 +96,7 @@ class LatestTable:
         self.order = (
             ("batch_id", *ORIGIN) if order == "arrival" else ("page_time", "batch_id", *ORIGIN[1:])
         )
-        self.buckets = buckets
+        self.buckets, self.bucket_rows = buckets, bucket_rows
         self._store = Store(spark, self.path)
         batch = T.StructField("batch_id", T.LongType())
         self._schema = T.StructType([*schema.fields, *more, *_ORIGIN_SCHEMA, batch])
@@ -120,31 +122,39 @@ class LatestTable:
         version = 1 + max([head["version"], *map(int, self._store.names("versions"))])
         while not self._store.claim(f"versions/{version}"):
             version += 1
-        touched = self._touched(newer)
-        if touched:
-            rows = self._merged(head, newer, touched, self._schema.fieldNames()).withColumn("bucket", self._bucket())
-            # large buckets are spread over several tasks, small ones share one
-            rows = rows.hint("rebalance", "bucket")
-            rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/snapshot/v={version}")
-        upto = max(head["upto"], *newer)
-        open_ = {*head["open"], *range(head["upto"] + 1, upto + 1)} - {*newer}
-        places = head["buckets"] | {str(b): version for b in touched}
-        mark = {"version": version, "upto": upto, "open": sorted(open_), "buckets": places}
+        log = self._log(newer)
+        size = max(head["size"], self.buckets or self._wanted(sum(head["rows"].values()) + log.count()))
+        touched = self._touched(log, size) if size == head["size"] else list(head["places"])
+        path = f"{self.path}/snapshot/v={version}"
+        rows = self._merged(head, log, touched, self._schema.fieldNames())
+        # large buckets are spread over several tasks, small ones share one
+        rows = rows.withColumn("bucket", self._bucket(size)).hint("rebalance", "bucket")
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        written = self.spark.read.schema(T.StructType([*self._schema.fields, T.StructField("bucket", T.IntegerType())]))
+        counted = {str(r["bucket"]): r["count"] for r in written.parquet(path).groupBy("bucket").count().collect()}
+        kept = {b: v for b, v in head["places"].items() if b not in touched}
+        mark = {
+            "version": version,
+            "size": size,
+            "places": kept | {b: version for b in counted},
+            "rows": {b: head["rows"][b] for b in kept} | counted,
+            "folded": sorted({*head["folded"], *newer} & {*self._numbers()}),
+        }
         self._store.write(f"published/{version}", json.dumps(mark))
 
     def drop_folded(self) -> None:
         """Remove what the newest snapshot has made superfluous. Nothing may be reading it."""
         head = self._head()
-        for number in self._numbers():
-            if number <= head["upto"] and number not in head["open"]:
-                self._store.remove(f"log/batch_id={number}")
+        for number in head["folded"]:
+            self._store.remove(f"log/batch_id={number}")
         for folder in self._store.names("snapshot"):
             for name in self._store.names(f"snapshot/{folder}"):
-                if name.startswith("bucket=") and folder != f"v={head['buckets'].get(name[7:])}":
+                if name.startswith("bucket=") and folder != f"v={head['places'].get(name[7:])}":
                     self._store.remove(f"snapshot/{folder}/{name}")
-        for name in self._store.names("published"):
-            if name.isdigit() and int(name) < head["version"]:
-                self._store.remove(f"published/{name}")
+        for kind in ("published", "versions"):
+            for name in self._store.names(kind):
+                if name.isdigit() and int(name) < head["version"]:
+                    self._store.remove(f"{kind}/{name}")
 
     def current(self, *columns: str) -> DataFrame:
         """One row per key, without origin columns; only ``columns`` are read if given.
@@ -162,30 +172,40 @@ class LatestTable:
         ]
         head = self._head()
         newer = self._newer(head)
-        touched = {str(b) for b in self._touched(newer)} if newer else set()
-        rest = self._snapshot(head, [b for b in head["buckets"] if b not in touched], kept)
-        if not touched:
+        log = self._log(newer) if newer else None
+        touched = self._touched(log, head["size"]) if newer else []
+        rest = self._snapshot(head, [b for b in head["places"] if b not in touched], kept)
+        if not newer:
             return self.spark.createDataFrame([], self._schema).select(*kept) if rest is None else rest
-        merged = self._merged(head, newer, touched, kept)
+        merged = self._merged(head, log, touched, kept)
         return merged if rest is None else rest.unionByName(merged)
 
-    def _merged(self, head: dict, newer: list[int], touched, kept: list[str]) -> DataFrame:
+    def _merged(self, head: dict, log: DataFrame, touched: list[str], kept: list[str]) -> DataFrame:
         """The buckets that newer batches touch, with these batches."""
-        rows = self._log(newer).select(*kept)
-        old = self._snapshot(head, [str(b) for b in touched], kept)
+        old = self._snapshot(head, touched, kept)
+        rows = log.select(*kept)
         return latest(rows if old is None else old.unionByName(rows), self.key, self.order)
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+    def _wanted(self, rows: int) -> int:
+        """The power of two of buckets that keeps them at ``bucket_rows`` rows on average."""
+        return 1 << max(0, -(-rows // self.bucket_rows) - 1).bit_length()
+
+    def _bucket(self, size: int) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(size)).cast("int")
+
+    def _touched(self, log: DataFrame, size: int) -> list[str]:
+        if size <= 1:
+            return ["0"]
+        found = log.select(self._bucket(size).alias("b")).distinct()
+        return [str(row.b) for row in found.collect()]  # at most ``size`` numbers
 
-    def _touched(self, newer: list[int]) -> list[int]:
-        found = self._log(newer).select(self._bucket().alias("b")).distinct()
-        return sorted(row.b for row in found.collect())  # at most ``buckets`` numbers
+    def _read(self, *places: str) -> DataFrame:
+        return self.spark.read.schema(self._schema).parquet(*places)
 
-    def _snapshot(self, head: dict, buckets, kept: list[str]) -> DataFrame | None:
+    def _snapshot(self, head: dict, buckets: Sequence[str], kept: list[str]) -> DataFrame | None:
         """Some buckets of the snapshot; None if it has none of them."""
-        places = [f"{self.path}/snapshot/v={head['buckets'][b]}/bucket={b}" for b in buckets if b in head["buckets"]]
-        return self.spark.read.schema(self._schema).parquet(*places).select(*kept) if places else None
+        places = [f"{self.path}/snapshot/v={head['places'][b]}/bucket={b}" for b in buckets if b in head["places"]]
+        return self._read(*places).select(*kept) if places else None
 
     def _log(self, numbers: list[int]) -> DataFrame:
         places = [f"{self.path}/log/batch_id={n}" for n in numbers]
@@ -200,13 +220,13 @@ class LatestTable:
         return [
             n
             for n in self._numbers()
-            if (n > head["upto"] or n in head["open"]) and self._store.exists(f"log/batch_id={n}/_SUCCESS")
+            if n not in head["folded"] and self._store.exists(f"log/batch_id={n}/_SUCCESS")
         ]
 
     def _head(self) -> dict:
-        """The newest snapshot: its version, the batches it holds (all up to ``upto`` but those in
-        ``open``), and the version that each bucket was last written in."""
+        """The newest snapshot: its number of buckets, the version each was last written in and
+        its rows, and those batches of the log that the snapshot holds."""
         versions = [int(name) for name in self._store.names("published") if name.isdigit()]
         if not versions:
-            return {"version": 0, "upto": -1, "open": [], "buckets": {}}
+            return {"version": 0, "size": 0, "places": {}, "rows": {}, "folded": []}
         return json.loads(self._store.read(f"published/{max(versions)}"))

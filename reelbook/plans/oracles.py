@@ -470,6 +470,9 @@ SELECT username, CAST(created AS DATE) AS day, arg_max(follower_count, created)
   count(*) AS scrapes
 FROM page_profile WHERE username <> 'N/A' GROUP BY 1, 2"""
 )
+ORACLES["history_state"] = ORACLES["profile_history"]
+ORACLES["catalog_upsert"] = ORACLES["merge_videos"]
+ORACLES["object_arrivals"] = "SELECT md5(html) AS html_md5, length(html) AS chars FROM pages"
 ORACLES["quarantine_inputs"] = """
 SELECT CASE event_id % 5 WHEN 1 THEN '' ELSE 'profiles/user' || user_id || '/' END || event_id || '.html' AS path,
   CASE event_id % 5 WHEN 3 THEN 'videos' ELSE 'page' END AS scope,

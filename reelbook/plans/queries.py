@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reelbook.functions import text as tx
 from reelbook.functions import variants as vr
 from reelbook.operators import dashboard, dom, extract, jsondoc, quality
+from reelbook.operators.history import FollowerHistory
 from reelbook.operators.upsert import LatestTable, latest, merge_upsert
 from reelbook.plans import fixtures as fx
 from reelbook.schemas import (
@@ -604,6 +605,51 @@ def object_stream(spark, sf):
     return taken.select(folder.alias("creator"), F.md5(text).alias("html_md5"))
 
 
+@query
+def object_arrivals(spark, sf):
+    """One object per page in one folder; the stream reads arrival records and fetches what they name."""
+    root, work = scratch_dir(spark, "objects"), scratch_dir(spark, "arrivals")
+    raw = fx.table(spark, sf, "pages").select("html")
+    raw.repartition(4, "html").write.option("maxRecordsPerFile", 1).text(root)
+    there = spark.read.format("binaryFile").load(root).select("path", F.col("modificationTime").alias("event_time"))
+    there.repartition(3, "path").write.json(f"{work}/records")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        landing.named_objects(batch).write.mode("overwrite").parquet(f"{work}/taken/batch={batch_id}")
+
+    stream = landing.stream_arrivals(spark, f"{work}/records", files_per_batch=1)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", scratch_dir(spark, "ckpt"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    text = F.substring(F.col("html"), F.lit(1), F.length("html") - 1)  # the writer ends the line
+    taken = landing.read_table(spark, f"{work}/taken")
+    return taken.select(F.md5(text).alias("html_md5"), F.length(text).cast("bigint").alias("chars"))
+
+
+@query
+def catalog_upsert(spark, sf):
+    """Observations of videos in two halves upserted into a catalog table; the last of a video wins."""
+    database = f"creators_{uuid.uuid4().hex}"
+    processed.create_tables(spark, database, scratch_dir(spark, "catalog"), buckets=16)
+    log = fx.video_scrapes(spark, sf)
+    first = F.col("arrival") < fx.ARRIVALS // 2
+    for half in (first, ~first):
+        processed.upsert_table(log.where(half), f"{database}.videos", VIDEO_KEY, ["arrival"])
+    return spark.table(f"{database}.videos").drop(processed.BUCKET)
+
+
+@query
+def history_state(spark, sf):
+    """Follower history folded from three batches of pages, one of them twice."""
+    pages = extract.extract_pages(fx.pages(spark, sf), columns=["profile"])
+    log = quality.filter_invalid_profiles(
+        extract.profile_rows(pages.withColumnRenamed("path", "page_path"), "page_path")
+    )
+    history = FollowerHistory(spark, scratch_dir(spark, "history"))
+    for part in (0, 1, 2, 1):
+        history.fold(log.where(F.pmod(F.xxhash64("page_path"), F.lit(3)) == part))
+    return history.current()
+
+
 @query
 def stream_chain(spark, sf):
     """Messages to landed pages to the profile table: two streams joined by the landing folder."""

@@ -66,7 +66,7 @@ class Store:
         self._context, self.root = spark.sparkContext, root.rstrip("/")
 
     def _at(self, name: str):
-        target = self._context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        target = self._context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if self.root else name)
         return target.getFileSystem(self._context._jsc.hadoopConfiguration()), target
 
     def names(self, name: str) -> list[str]:

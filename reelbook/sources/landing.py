@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelbook.functions import text as tx
 from reelbook.operators.upsert import latest
+from reelbook.session import Store
 
+ARRIVAL_SCHEMA = "path string, event_time timestamp"
 PAGE_SCHEMA = "path string, html string, time_created timestamp"
 _OBJECT_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -37,9 +41,8 @@ def stream_objects(
 ) -> DataFrame:
     """New objects of the folder as a stream of pages.
 
-    Each trigger lists the whole folder. Where it holds very many objects, move those
-    that are done away with the options ``cleanSource`` and ``sourceArchiveDir`` of a
-    reader of your own, or land pages in a table.
+    Each trigger lists the whole folder. Where it holds very many objects, stream their
+    arrival records (:func:`stream_arrivals`) or land pages in a table.
     """
     return _as_pages(
         spark.readStream.format("binaryFile")
@@ -51,6 +54,41 @@ def stream_objects(
     )
 
 
+def stream_arrivals(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
+    """Arrival records (JSON lines of ``path, event_time``) as a stream: what a bucket
+    notification says, one record for each object written."""
+    return spark.readStream.schema(ARRIVAL_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(path)
+
+
+def named_objects(arrivals: DataFrame, missing_path: str | None = None) -> DataFrame:
+    """Pages of the objects that a batch of arrival records names, each once.
+
+    Only these objects are looked up; no folder is listed. The names of one batch pass
+    the driver, which plans their files. Objects that are gone are written to
+    ``missing_path`` as JSON lines if that is given, else they fail the read.
+    """
+    spark = arrivals.sparkSession
+    paths = sorted(row.path for row in arrivals.select("path").distinct().collect() if row.path)
+
+    def read(some: list[str]) -> DataFrame:
+        if not some:
+            return spark.createDataFrame([], PAGE_SCHEMA)
+        exact = [re.sub(r"([\\*?{}\[\]])", r"\\\1", path) for path in some]  # names, not patterns
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        return _as_pages(reader.load(exact))
+
+    try:
+        return read(paths)
+    except AnalysisException as error:
+        if missing_path is None or "PATH_NOT_FOUND" not in str(error):
+            raise
+    files = Store(spark, "")
+    gone = [path for path in paths if not files.exists(path)]
+    rows = spark.createDataFrame([(path,) for path in gone], "path string")
+    rows.write.mode("append").json(missing_path)
+    return read([path for path in paths if path not in set(gone)])
+
+
 def object_columns(pages: DataFrame, root: str) -> DataFrame:
     """Add ``bucket`` (the folder) and ``name`` (the path below it) to pages of a folder."""
     bucket = root.rstrip("/")

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reelbook.operators import quality
 from reelbook.operators.extract import extract_pages, profile_rows, video_rows
+from reelbook.operators.history import FollowerHistory
 from reelbook.operators.upsert import LatestTable, latest
 from reelbook.schemas import PROFILE_KEY, PROFILE_SCHEMA, VIDEO_KEY, VIDEO_SCHEMA
 from reelbook.session import Store, read_if_there
@@ -31,9 +32,19 @@ class CreatorStore:
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, order: str = "arrival", json_root: str | None = None
+        self,
+        spark: SparkSession,
+        root: str,
+        order: str = "arrival",
+        json_root: str | None = None,
+        database: str | None = None,
+        history: bool = False,
     ):
+        if database and order != "arrival":
+            raise ValueError("catalog tables do not keep page times: they take order='arrival' only")
         self.spark, self.root, self.json_root = spark, root.rstrip("/"), json_root
+        self.database = database
+        self.history = FollowerHistory(spark, f"{self.root}/history") if history else None
         self.profiles = LatestTable(
             spark, f"{self.root}/profiles", PROFILE_SCHEMA, PROFILE_KEY, order
         )
@@ -50,9 +61,11 @@ class CreatorStore:
         known = self._numbers.read(f"of/{stream}-{batch_id}")
         if known:
             return int(known)
-        number = 1 + max([-1, *map(int, self._numbers.names("taken"))])
+        # the last number is a hint from which to look on: no listing of all batches ever taken
+        number = 1 + int(self._numbers.read("last") or -1)
         while not self._numbers.claim(f"taken/{number}"):
             number += 1
+        self._numbers.write("last", str(number))
         self._numbers.write(f"of/{stream}-{batch_id}", str(number))
         return number
 
@@ -60,7 +73,9 @@ class CreatorStore:
         """Extract a batch of pages and put it into both tables. Safe to repeat.
 
         A batch is named by its stream and its number there. With ``json_root`` the
-        records are also written as JSON lines. Returns counts of the batch.
+        records are also written as JSON lines, with ``database`` they are upserted into
+        its catalog tables, with ``history`` the follower history is kept up to date, one
+        batch after another. Returns counts of the batch.
         """
         number = self.number(stream, batch_id)
         path = f"{self.root}/extracted/batch_id={number}"
@@ -73,6 +88,13 @@ class CreatorStore:
         named = origin.withColumn("username", F.nullif("profile.username", F.lit("N/A")))
         videos = video_rows(named, "page_path", "page_time", "username", position=True)
         self.videos.append(videos, number)
+        if self.database:
+            order = ("page_time", "page_path", "position")
+            located = profiles.withColumn("position", F.lit(0))
+            processed.upsert_table(located, f"{self.database}.profiles", PROFILE_KEY, order)
+            processed.upsert_table(videos, f"{self.database}.videos", VIDEO_KEY, order)
+        if self.history:
+            self.history.fold(quality.filter_invalid_profiles(profiles))
         if self.json_root:
             for name, rows in (("profiles", profile_rows(done)), ("videos", video_rows(done))):
                 target = f"{self.json_root}/{name}/batch_id={number}"
@@ -125,9 +147,13 @@ def start_ingest(
     checkpoint: str,
     available_now: bool = True,
     publish_every: int | None = None,
+    read: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Feed a stream of pages into a store, one batch per trigger.
 
+    ``read`` turns a batch of another stream into pages, such as
+    :func:`landing.named_objects` for arrival records.
+
     The stream's id and the batch number name what a batch writes, so a batch that
     is run again after a failure replaces what it wrote before, and streams do not
     get in each other's way. Every ``publish_every`` batches the tables fold their
@@ -135,7 +161,7 @@ def start_ingest(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = store.take(batch, batch_id, _stream_id(batch))
+        counts = store.take(read(batch) if read else batch, batch_id, _stream_id(batch))
         logger.info("batch %s: %s", batch_id, counts)
         if publish_every and (batch_id + 1) % publish_every == 0:
             store.publish()

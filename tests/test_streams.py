@@ -2,6 +2,7 @@
 
 import base64
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR
 from pages import HEAD, detail, info, post, script, tile
 from reelbook import CreatorStore, extract_profiles, latest, scratch_dir, start_ingest, start_landing
+from reelbook.operators import dashboard
+from reelbook.operators.history import FollowerHistory
+from reelbook.operators.quality import filter_invalid_profiles
 from reelbook.plans import fixtures as fx
 from reelbook.sources import landing, messages, processed
 from reelbook.streaming.ingest import run_latest
@@ -194,3 +198,113 @@ def test_first_wins_would_show(spark):
     )
     assert ends.filter("first <> last").count() > 10
     assert landing.read_table(spark, fx.landed_path(spark, SF_DIR)).inputFiles().__len__() >= 4
+
+
+# --- arrival records --------------------------------------------------------------------
+
+
+def put(folder, name, text):
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(text.encode())
+    return f"file:{path}"
+
+
+def record(folder, name, paths):
+    folder.mkdir(exist_ok=True)
+    lines = [json.dumps({"path": path, "event_time": "2024-05-01T10:00:00Z"}) for path in paths]
+    (folder / f"{name}.draft").write_text("\n".join(lines))
+    (folder / f"{name}.draft").rename(folder / f"{name}.json")
+
+
+def test_arrivals_fetch_only_named_objects(spark, tmp_path):
+    html = lambda name: script(detail(userInfo=info(uniqueId=name), posts=[post(name)]))
+    paths = {name: put(tmp_path / "objects", f"profiles/{name}/t.html", html(name)) for name in ("ann", "bob", "eve")}
+    odd = put(tmp_path / "objects", "profiles/k=[1]{a}*/t?.html", html("odd"))
+    records = tmp_path / "records"
+    store = CreatorStore(spark, scratch_dir(spark, "store"))
+    checkpoint, listed = scratch_dir(spark, "ckpt"), []
+
+    def read(batch):
+        pages = landing.named_objects(batch)
+        listed.append(len(pages.inputFiles()))
+        return pages
+
+    def ingest():
+        stream = landing.stream_arrivals(spark, str(records), files_per_batch=1)
+        start_ingest(stream, store, checkpoint, read=read).awaitTermination()
+        return sorted(row.username for row in store.profiles.current().collect())
+
+    record(records, "one", [paths["ann"], paths["ann"]])
+    assert ingest() == ["ann"]
+    record(records, "two", [paths["bob"], odd])
+    # eve's object is there, but nothing has named it
+    assert ingest() == ["ann", "bob", "odd"]
+    assert listed == [1, 2]
+    assert store.extracted().where("time_created IS NULL").count() == 0
+
+
+def test_objects_that_are_gone(spark, tmp_path):
+    there = put(tmp_path / "objects", "profiles/ann/t.html", "<p>")
+    arrivals = spark.createDataFrame([(there,), (f"{there}.gone",), (None,)], "path string")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        landing.named_objects(arrivals)
+    found = landing.named_objects(arrivals, str(tmp_path / "missing"))
+    assert [row.html for row in found.collect()] == ["<p>"]
+    assert [row.path for row in spark.read.json(str(tmp_path / "missing")).collect()] == [f"{there}.gone"]
+    assert landing.named_objects(arrivals.where("false")).count() == 0
+
+
+# --- follower history ---------------------------------------------------------------------
+
+
+def observations(spark, items):
+    data = [(f"profiles/{who}/{page}", who, t, n) for who, page, t, n in items]
+    rows = spark.createDataFrame(data, "page_path string, username string, t long, follower_count bigint")
+    return rows.withColumn("scrape_timestamp", F.timestamp_seconds("t"))
+
+
+def test_follower_history_in_any_batching(spark):
+    day, rng = 86_400, random.Random(3)
+    items = [(rng.choice("aaaab"), i, rng.randrange(6 * day), rng.randrange(100)) for i in range(120)]
+    want = rows(dashboard.follower_history(observations(spark, items)).select("username", "day", "follower_count", "scrapes"))
+    for cuts in ([120], [10, 70, 120], [40, 80, 120]):
+        history, start = FollowerHistory(spark, scratch_dir(spark, "history")), 0
+        for end in cuts:
+            history.fold(observations(spark, items[start:end]))
+            start = end
+        history.fold(observations(spark, items[:20]))  # again
+        assert rows(history.current()) == want
+
+
+def test_follower_history_writes_touched_days_only(spark):
+    day = 86_400
+    history = FollowerHistory(spark, scratch_dir(spark, "history"))
+    assert history.current().count() == 0 and history.fold(observations(spark, []).where("false")) == []
+    assert history.fold(observations(spark, [("ann", i, i * day, i) for i in range(5)])) == [
+        f"1970-01-0{i + 1}" for i in range(5)
+    ]
+    before = set(spark.read.parquet(f"{history.path}/days").inputFiles())
+    # the same page again, later that day, and a page without a creator
+    batch = observations(spark, [("ann", 2, 2 * day + 5, 50)]).unionByName(
+        observations(spark, [("x", 1, 0, 1)]).withColumn("username", F.lit(None).cast("string"))
+    )
+    assert history.fold(batch) == ["1970-01-03"]
+    after = set(spark.read.parquet(f"{history.path}/days").inputFiles())
+    assert len(after - before) == 1 and len(before - after) == 1
+    found = {str(r.day): (r.follower_count, r.scrapes) for r in history.current().collect()}
+    assert found["1970-01-03"] == (50, 1) and found["1970-01-02"] == (1, 1)
+
+
+def test_store_keeps_history_and_catalog(spark, pages):
+    processed.create_tables(spark, "fed", scratch_dir(spark, "catalog"), buckets=4)
+    store = CreatorStore(spark, scratch_dir(spark, "store"), history=True, database="fed")
+    start_ingest(landing.stream_table(spark, pages, files_per_batch=2), store, scratch_dir(spark, "ckpt")).awaitTermination()
+    log = filter_invalid_profiles(store.profile_log())
+    wanted = dashboard.follower_history(log).select("username", "day", "follower_count", "scrapes")
+    assert rows(store.history.current()) == rows(wanted)
+    for name in ("profiles", "videos"):
+        assert rows(spark.table(f"fed.{name}").drop("bucket")) == rows(getattr(store, name).current())
+    with pytest.raises(ValueError):
+        CreatorStore(spark, "/nowhere", order="event_time", database="fed")
+    spark.sql("DROP DATABASE fed CASCADE")

@@ -228,3 +228,87 @@ def test_catalog_tables(spark):
     processed.publish_table(row, "creators.videos")
     assert spark.table("creators.videos").count() == 1
     spark.sql("DROP DATABASE creators CASCADE")
+
+
+def test_columns_go_by_name(spark):
+    processed.create_tables(spark, "named")
+    row = spark.range(1).selectExpr(
+        "'d' description", "'t' thumbnail", "'u' url", "1L views", "'N/A' create_time",
+        "0L like_count", "0L comment_count", "0L share_count", "'more' other",
+    )
+    processed.publish_table(row, "named.videos")
+    found = spark.table("named.videos").first()
+    assert (found.description, found.thumbnail) == ("d", "t")
+    spark.sql("DROP DATABASE named CASCADE")
+
+
+def videos_of(frame, items):
+    data = [(f"u{k}", v, None if v % 2 else f"d{v}", v) for k, v in items]
+    return frame(data, "url string, views bigint, description string, n bigint").selectExpr(
+        "*", "'t' thumbnail", "'N/A' create_time", "0L like_count", "0L comment_count", "0L share_count"
+    )
+
+
+def test_catalog_upsert(spark, frame):
+    """The buckets of a table are rewritten where a batch touches them, and nowhere else."""
+    processed.create_tables(spark, "upserts", scratch_dir(spark, "catalog"), buckets=64)
+    table = "upserts.videos"
+    assert processed.upsert_table(videos_of(frame, [(i, 2 * i) for i in range(2000)]), table, "url") == "buckets"
+    assert spark.table(table).count() == 2000
+    before = set(spark.table(table).inputFiles())
+    assert len(before) == 64
+    change = [(5, 101), (5, 99), (7, 102), (9000, 3)]
+    processed.upsert_table(videos_of(frame, change), table, "url", ["n"])
+    after = set(spark.table(table).inputFiles())
+    assert 1 <= len(after - before) <= 3
+    found = {r.url: (r.views, r.description) for r in spark.table(table).collect()}
+    assert len(found) == 2001
+    assert found["u5"] == (101, None) and found["u7"] == (102, "d102") and found["u9000"] == (3, None)
+    assert found["u8"] == (16, "d16")
+    # again, and with nothing: the same rows
+    processed.upsert_table(videos_of(frame, change), table, "url", ["n"])
+    processed.upsert_table(videos_of(frame, change).where("false"), table, "url", ["n"])
+    assert {r.url: (r.views, r.description) for r in spark.table(table).collect()} == found
+    spark.sql("DROP DATABASE upserts CASCADE")
+
+
+def test_catalog_without_merge_is_refused(spark, frame):
+    processed.create_tables(spark, "plain")
+    with pytest.raises(processed.MergeUnsupported, match="plain.videos"):
+        processed.upsert_table(videos_of(frame, [(1, 1)]), "plain.videos", "url")
+    assert spark.table("plain.videos").isEmpty()
+    spark.sql("DROP DATABASE plain CASCADE")
+
+
+def test_merge_statement(spark):
+    """No catalog here has row-level MERGE: its plan is looked at instead."""
+    sql = processed.merge_statement("c.d.videos", "url", ["url", "views"]).format(source="s")
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    assert plan.startswith("'MergeIntoTable ('t.url = 's.url)")
+    assert "updateaction(None, assignment('t.views, 's.views)" in plan
+    assert "insertaction(None, assignment('url, 's.url), assignment('views, 's.views))" in plan
+
+
+def test_few_keys_rewrite_few_buckets(spark, frame):
+    """The number of buckets follows the table, so a batch of 150 keys leaves most of it alone."""
+    path = scratch_dir(spark, "t")
+    table = LatestTable(spark, path, SCHEMA, "k", bucket_rows=20)
+    table.append(scrape(frame, [(f"k{i}", i, i) for i in range(10)]), 0)
+    table.publish()
+    assert len(files(f"{path}/snapshot")) == 1
+    many = spark.range(5_000).selectExpr("concat('k', id) k", "id a", "'v' b", "timestamp_seconds(id) page_time",
+                                         "'p' page_path", "0 position")
+    table.append(many, 1)
+    table.publish()
+    table.drop_folded()
+    before = files(f"{path}/snapshot")
+    assert len(before) > 250
+    table.append(scrape(frame, [(f"k{i}", -i, 10**6) for i in range(20)]), 2)
+    table.publish()
+    assert 0 < len(files(f"{path}/snapshot") - before) <= 20 < len(before) / 10
+    assert table.current().count() == 5_000 and table.current().where("a < 0").count() == 19
+    table.drop_folded()
+    assert len(files(f"{path}/snapshot")) == len(before) and os.listdir(f"{path}/log") == []
+    # 150 keys of a table of 2^31 rows at the standard size of a bucket
+    size = LatestTable(spark, path, SCHEMA, "k")._wanted(1 << 31)
+    assert size >= 4096 and len(table._touched(many.limit(150), size)) <= 150 < size / 10
