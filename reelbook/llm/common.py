@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
@@ -75,8 +75,29 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(FOLD).split() if text else []
 
 
+def named(name: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one struct: no name added beside it can clash with theirs."""
+    return F.struct(*map(named, docs.columns))
+
+
+def fields(row: str, names: Sequence[str]) -> list[Column]:
+    """Columns taken back out of a struct."""
+    return [F.col(row).getField(name).alias(name) for name in names]
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that have one."""
+    plain = [f.name for f in docs.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return F.xxhash64(*map(named, plain)) if plain else F.lit(0).cast("long")
+
+
 def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+    return F.coalesce(named(name), F.lit(""))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import words_of
+from reelbook.llm.common import whole_row, words_of
 
 #: Python workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -259,7 +259,9 @@ _WORD_BYTES = bytes(int(b >= 128 or chr(b).isalnum()) for b in range(256))
 def remove_hits(docs: DataFrame, items: DataFrame, max_share: float = 0.5, **options) -> DataFrame:
     """Cleaned ``docs``: hit stretches are cut out of ``text``, and ``n_chars`` (if there) is
     counted anew; a document of whose words more than ``max_share`` are hit goes. Other
-    documents, null texts included, stay as they are, with the columns they had.
+    documents, null and empty texts included, stay as they are, with the columns they had,
+    whatever these are called. Repeated rows are all treated alike; long texts are searched
+    whole; without documents the result is empty, without items it is ``docs``.
     """
     columns = docs.columns
 
@@ -269,7 +271,7 @@ def remove_hits(docs: DataFrame, items: DataFrame, max_share: float = 0.5, **opt
         return pa.array([cut_text(t, c) if c else t for t, c in zip(texts.to_pylist(), cuts, strict=True)], pa.string())
 
     cut.__annotations__ = {"texts": pa.Array, "found": pa.Array, "return": pa.Array}
-    rows = find_hits(docs.select(F.struct(*columns).alias("row"), F.col("text")), items, **options)
+    rows = find_hits(docs.select(whole_row(docs).alias("row"), F.col("text")), items, **options)
     hit = F.aggregate("found.hits", F.lit(0).cast("long"), lambda n, h: n + h.stop - h.start)
     rows = rows.where(hit <= max_share * F.col("found.n_words"))
     rows = rows.withColumn("text", F.arrow_udf(cut, "string")(F.col("text"), F.col("found")))
@@ -278,7 +280,7 @@ def remove_hits(docs: DataFrame, items: DataFrame, max_share: float = 0.5, **opt
         kind = docs.schema["n_chars"].dataType
         count = F.length("text").cast(kind)
         changed["n_chars"] = F.when(F.size("found.hits") > 0, count).otherwise(F.col("row.n_chars"))
-    return rows.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))
+    return rows.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in columns))
 
 
 def hit_digest(docs: DataFrame, items: DataFrame) -> DataFrame:

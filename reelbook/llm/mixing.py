@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import maybe_broadcast, saved, text_or_empty
+from reelbook.llm.common import fields, maybe_broadcast, row_hash, saved, text_or_empty, whole_row
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -118,7 +118,8 @@ def plan(
     rows are counted first and then numbered, each with a draw of its own. A null
     text has size 0; a document without words takes no words and is copied with the
     probability of its source. A null source is a source. Only ``doc_id``,
-    ``source`` and ``text`` are read; texts are not shuffled.
+    ``source`` and ``text`` are read, whatever other columns are called; long texts are
+    counted whole; without rows the result is empty; texts are not shuffled.
     """
     body = text_or_empty(text)
     units = docs.select(
@@ -177,16 +178,34 @@ def plan(
 def mix(docs: DataFrame, text: str = "text", seed: int = 7, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, with their columns.
 
-    Rows that repeat a document (same id and text) share the copies of all of them.
+    Rows that repeat a document (same id and text) share the copies of all of them as
+    evenly as whole copies go: which of them get one more is decided by a hash of their
+    columns, so none of several versions is lost for another. Nulls, texts without words
+    and long texts are treated as by :func:`plan`; without rows the result is empty; no
+    name of an input column matters but ``doc_id``, ``source`` and the text's. Texts are
+    shuffled once; equal rows are counted, and the versions of one document numbered in 64 parts.
     """
     body = text_or_empty(text)
     k1 = F.xxhash64(F.lit(seed), F.col("doc_id"), body)
     k2 = F.xxhash64(F.lit(seed + 1), body, F.col("doc_id"))
-    total = plan(docs, seed=seed, text=text, **options).groupBy("k1", "k2").agg(F.sum("copies").alias("copies"))
-    kept = docs.select(k1.alias("k1"), k2.alias("k2"), F.struct(*docs.columns).alias("row"))
-    kept = kept.groupBy("k1", "k2").agg(F.any_value("row").alias("row")).join(total, ["k1", "k2"])
-    kept = kept.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return kept.select("row.*")
+    total = plan(docs, seed=seed, text=text, **options).groupBy("k1", "k2")
+    total = total.agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    keys = docs.select(k1.alias("k1"), k2.alias("k2"), row_hash(docs).alias("h"), whole_row(docs).alias("row"))
+    # the versions of a document, in the order of their hashes: first 64 parts, then within a part
+    versions = keys.groupBy("k1", "k2", "h").agg(F.count("*").alias("n"))
+    versions = saved(versions.withColumn("part", F.shiftrightunsigned("h", 58)), "versions")
+    earlier = lambda *by: Window.partitionBy("k1", "k2", *by[:-1]).orderBy(by[-1])
+    parts = versions.groupBy("k1", "k2", "part").agg(F.sum("n").alias("m"))
+    parts = parts.select("k1", "k2", "part", (F.sum("m").over(earlier("part")) - F.col("m")).alias("before"))
+    versions = versions.withColumn("upto", F.sum("n").over(earlier("part", "h"))).join(parts, ["k1", "k2", "part"])
+    versions = versions.join(total, ["k1", "k2"])
+    every = F.floor(F.col("copies") / F.col("rows"))
+    extra = F.col("copies") - every * F.col("rows") - (F.col("before") + F.col("upto") - F.col("n"))
+    taken = F.col("n") * every + F.greatest(F.least(extra, F.col("n")), F.lit(0).cast("long"))
+    share = versions.select("k1", "k2", "h", taken.alias("taken")).where("taken > 0")
+    kept = keys.groupBy("k1", "k2", "h").agg(F.any_value("row").alias("row")).join(share, ["k1", "k2", "h"])
+    kept = kept.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("taken"))))
+    return kept.select(*fields("row", docs.columns))
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

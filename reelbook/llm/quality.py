@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import BLANKS, maybe_broadcast, saved, text_or_empty
+from reelbook.llm.common import BLANKS, fields, maybe_broadcast, named, saved, text_or_empty, whole_row
 
 #: Items a sketch keeps at its finest level; ranks are then good to about 0.1 percent.
 SKETCH_K = 2048
@@ -126,14 +126,22 @@ def judge(docs: DataFrame, keys: tuple[str, str] = ("lang", "source"), text: str
     """``docs`` with what :func:`measured` adds and ``kept``.
 
     Null keys form groups of their own. A null or empty text has no words and fails
-    the fixed rules. Repeated rows are judged alike and all stay; without rows the
-    result is empty. Input columns with the names added here are replaced; those
-    named as the thresholds are not touched. One scan of the texts: the thresholds
-    are built from the measured rows, which are written once.
+    the fixed rules; a very long one is measured whole. Repeated rows are judged alike
+    and all stay; without rows the result is empty. Input columns with the names added
+    here are replaced (:func:`keep_good` keeps them); no other name matters. One scan of
+    the texts: the thresholds are built from the measured rows, which are written once.
     """
     mine = [c for c in docs.columns if c not in ADDED]
-    rows = saved(measured(docs.select(*mine), text), "measured")
-    return _kept(rows, keys).select(*mine, *ADDED)
+    return _judged(docs, keys, text).select(*fields("row", mine), *ADDED)
+
+
+def _judged(docs: DataFrame, keys: tuple[str, str], text: str) -> DataFrame:
+    """``row`` (all columns given) beside what :func:`measured` adds and ``kept``."""
+    large, small = keys
+    packed = docs.select(
+        whole_row(docs).alias("row"), named(large).alias("large"), named(small).alias("small"), named(text).alias("text")
+    )
+    return _kept(saved(measured(packed).drop("text"), "measured"), ("large", "small"))
 
 
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "base_failed", "kept")
@@ -158,8 +166,13 @@ def _kept(rows: DataFrame, keys: tuple[str, str]) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with the columns they had."""
-    return judge(docs, **options).where("kept").select(*docs.columns)
+    """The rows of ``docs`` that are kept, with the columns and the values they had.
+
+    Nulls, empty and long texts, repeated rows and empty tables are treated as by
+    :func:`judge`; no name of an input column matters.
+    """
+    settings = {"keys": ("lang", "source"), "text": "text"} | options
+    return _judged(docs, **settings).where("kept").select(*fields("row", docs.columns))
 
 
 def quality_digest(docs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import saved, text_or_empty
+from reelbook.llm.common import fields, named, saved, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -96,9 +96,9 @@ def find_secrets(
     spans = F.array_sort(F.concat(*(_spans(body, i, form) for i, form in enumerate(FORMS))))
     rows = docs.select(
         F.monotonically_increasing_id().alias("__row"),
-        F.struct(*(F.col(c) for c in keep)).alias("__kept"),
-        F.col(repository).alias("__repository"),
-        F.col(owner).alias("__owner"),
+        F.struct(*map(named, keep)).alias("__kept"),
+        named(repository).alias("__repository"),
+        named(owner).alias("__owner"),
         spans.alias("__spans"),
     )
     rows = saved(rows, "candidates")
@@ -123,7 +123,7 @@ def find_secrets(
     )
     judged = judged.groupBy("__row").agg(F.sort_array(F.collect_list("s")).alias("secrets"))
     secrets = F.transform(F.coalesce("secrets", F.array().cast(judged.schema["secrets"].dataType)), lambda s: s.dropFields("kind_no"))
-    return rows.join(judged, "__row", "left").select("__kept.*", secrets.alias("secrets"))
+    return rows.join(judged, "__row", "left").select(*fields("__kept", keep), secrets.alias("secrets"))
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:

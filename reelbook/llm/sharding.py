@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import saved, text_or_empty
+from reelbook.llm.common import fields, named, saved, text_or_empty
 
 #: log2 of the cells. A shard then has thousands of them, and is even to a fraction of a percent.
 CELL_BITS = 18
@@ -76,7 +76,7 @@ def shard(
     kept = [c for c in keep if c not in added]
     body = text_or_empty(text)
     rows = docs.select(
-        F.struct(*(F.col(c) for c in kept)).alias("row"),
+        F.struct(*map(named, kept)).alias("row"),
         (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.shiftrightunsigned(F.xxhash64(body), 64 - CELL_BITS).alias("cell"),
@@ -95,11 +95,11 @@ def shard(
     shard_no = _count_reached(F.col("cell"), starts)
     before = Window.partitionBy("shard").orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("shard", shard_no).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    order_by = [F.col(f"row.`{kept[0]}`"), F.col("text_crc32")] if kept else [F.col("text_crc32")]
+    order_by = [F.col("row").getField(kept[0]), F.col("text_crc32")] if kept else [F.col("text_crc32")]
     number = F.row_number().over(Window.partitionBy("cell", "part").orderBy(*order_by))
     rows = rows.join(parts.select("cell", "part", "shard", "before"), ["cell", "part"])
     return rows.select(
-        *(F.col(f"row.`{c}`").alias(c) for c in kept),
+        *fields("row", kept),
         "size",
         "text_crc32",
         "shard",

@@ -21,7 +21,17 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import FOLD, discarding, maybe_broadcast, mixed, saved, text_or_empty
+from reelbook.llm.common import (
+    FOLD,
+    discarding,
+    fields,
+    maybe_broadcast,
+    mixed,
+    row_hash,
+    saved,
+    text_or_empty,
+    whole_row,
+)
 
 #: Python workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -445,7 +455,10 @@ def _linked(docs: DataFrame, sets: DataFrame, text: str) -> DataFrame:
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with one row of each class: that with the least id (null ids last), then text hash.
 
-    Rows without words are classes of their own, but for repeats of id and text.
+    Rows without words (null, empty or blank texts) are classes of their own, but for
+    repeats of id and text. Of rows that repeat id and text but differ elsewhere the one
+    with the least hash of its columns stays. Long texts are compared whole; without
+    rows the result is empty; columns keep their names and values, whatever they are called.
     """
     with discarding(docs.sparkSession):
         rows = saved(classes(docs, text).select("doc_id", "t", "class"), "classes", stay=True)
@@ -455,11 +468,11 @@ def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     hash2 = F.xxhash64(F.col("doc_id"), F.col("t"))
     best = best.select(F.col("doc_id").alias("__id"), F.col("t").alias("__t"), hash2.alias("__k"))
     t = F.xxhash64(text_or_empty(text))
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), t.alias("t"))
+    whole = docs.select(whole_row(docs).alias("row"), F.col("doc_id"), t.alias("t"), row_hash(docs).alias("h"))
     whole = whole.withColumn("k", hash2)
     same = (F.col("k") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("t") == F.col("__t"))
-    kept = whole.join(best, same, "left_semi").groupBy("k", "doc_id", "t").agg(F.any_value("row").alias("row"))
-    return kept.select("row.*")
+    kept = whole.join(best, same, "left_semi").groupBy("k", "doc_id", "t").agg(F.min_by("row", "h").alias("row"))
+    return kept.select(*fields("row", docs.columns))
 
 
 def similarity_digest(docs: DataFrame) -> DataFrame:

@@ -28,8 +28,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Labelled rows that a model is learned from at most, lowest hash of the id first.
 TRAIN_ROWS = 40_000
-#: Words of a model at most, highest score first (a few MB).
-MODEL_WORDS = 50_000
 #: Share of the labelled texts that the prior counts as, and standard errors taken off a log-odds.
 PRIOR, CAUTION = 0.015, 1.0
 #: Log-odds that a word needs after that; words that are barely toxic would only add noise.
@@ -149,8 +147,9 @@ def _word_scores(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, fl
     t, c = F.col("t") + prior, F.col("c") + prior
     odds = F.log(t / (n_toxic + weight - t)) - F.log(c / (n_clean + weight - c))
     score = odds - CAUTION * F.sqrt(1 / t + 1 / c)
+    # every such word: how many there are is bounded by the texts learned from
     best = counts.where("t > 0").select("word", score.alias("score")).where(F.col("score") > LEAST)
-    return {bytes(r.word): r.score for r in best.orderBy(F.desc("score"), "word").limit(MODEL_WORDS).toLocalIterator()}
+    return {bytes(r.word): r.score for r in best.toLocalIterator()}
 
 
 def _calibrated(texts: DataFrame, model: Model) -> Model:

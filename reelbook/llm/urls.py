@@ -4,7 +4,11 @@ Each URL has a fixed number of keys: ends of its host joined with starts of its
 path. The first filter of a cascade holds the listed keys, the second the keys of
 the corpus that pass the first by mistake, the third the listed keys that pass the
 second, and so on until no mistake is left. Over all keys of the corpus the cascade
-then answers exactly, from a few small literals, without a join.
+then answers exactly, from a few literals, without a join of the judged pages.
+
+The rules are a table of any size. Only rules whose key the corpus has are encoded, so
+the filters take some bits (about 1.5, and as many more as the corpus has doublings of
+keys over rules) for each rule that occurs.
 """
 
 from __future__ import annotations
@@ -16,16 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelbook.llm.common import saved
+from reelbook.llm.common import named, saved
 
 #: (verdict, host, path start): the rule fits the host and its subdomains.
 Rule = tuple[str, str, str]
-#: Bits of one filter: a literal of 2 MB. It follows from the number of rules, not from the corpus.
-MAX_BITS = 1 << 24
-#: Filters after which a cascade must have ended; each keeps at most about half of the mistakes.
-MAX_LEVELS = 80
-
-
 def host_of(url: Column) -> Column:
     """What stands between the first ``://`` and the next ``/``, ``?`` or ``#``, A-Z lower-cased."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -57,21 +55,18 @@ class Cascade:
 
     @classmethod
     def build(cls, name: str, listed: DataFrame, others: DataFrame) -> Cascade:
-        """``listed`` and ``others`` have one column ``key`` and share no key.
+        """``listed`` and ``others`` have one column ``key``, distinct keys, and share none.
 
-        Only filters, which are bounded by the number of listed keys, come to the driver.
+        Only filters come to the driver: they follow the number of listed keys. Each level
+        has hashes of its own, so the mistakes of one shrink geometrically in the next.
         """
         self = cls(name, [])
         sides = [listed, others]
         n, m = listed.count(), others.count()
         while n:
-            if len(self.levels) == MAX_LEVELS:
-                raise RuntimeError(f"cascade {name} does not end: are keys listed twice?")
             # the first filter lets through about as many others as there are listed keys
             hashes = max(1, math.ceil(math.log2(m / n))) if not self.levels and m > n else 1
             bits = max(64, 64 * math.ceil(n * hashes / math.log(2) / 64))
-            if bits > MAX_BITS:
-                raise ValueError(f"{n} keys need {bits} bits in one filter, more than {MAX_BITS}")
             here = Level(bits, hashes, [0] * (bits // 64))
             self.levels.append(here)
             places = F.explode(F.array(*self._places(len(self.levels) - 1, F.col("key"))))
@@ -108,52 +103,67 @@ class Cascade:
         return answer
 
 
-def _keys(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
-    """All keys of a URL that could be a rule: by number of host labels and length of path."""
-    labels = F.split(host, r"\.", -1)
-    sizes = sorted({rule_host.count(".") + 1 for _, rule_host, _ in rules})
-    lengths = sorted({len(rule_path) for _, _, rule_path in rules})
+def _keys(host: Column, path: Column, sizes: Sequence[int], lengths: Sequence[int]) -> Column:
+    """All keys of a URL that could be a rule: by number of host labels and length of path.
+
+    Two nested loops over short lists, so the plan does not grow with the rules.
+    """
+    counts, widths = (F.split(F.lit(",".join(map(str, n))), ",").cast("array<int>") for n in (sizes, lengths))
+    labels = F.size(F.split(host, r"\.", -1))
     # of a host of n labels, the last k: cut before the n-k-th dot from the left
-    ends = [F.when((F.size(labels) >= k) & (host != ""), F.substring_index(host, ".", -k)) for k in sizes]
-    starts = [F.when(F.length(path) >= k, F.substring(path, 1, k)) for k in lengths]
-    return F.array_compact(F.array(*(F.concat(e, s) for e in ends for s in starts)))
+    last = lambda k: F.array_join(F.slice(F.split(host, r"\.", -1), labels - k + 1, k), ".")
+    ends = F.transform(F.filter(counts, lambda k: (labels >= k) & (host != "")), last)
+    starts = F.transform(F.filter(widths, lambda w: F.length(path) >= w), lambda w: F.substring(path, 1, w))
+    return F.flatten(F.transform(ends, lambda e: F.transform(starts, lambda s: F.concat(e, s))))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFrame:
+def _rule_table(spark: SparkSession, rules: Sequence[Rule] | DataFrame) -> DataFrame:
+    """``host``, ``path``, ``key`` and ``verdict``. Of a list the last verdict for a key counts, of a
+    table ``block``; rules without a verdict, a host or a path are left out."""
+    if not isinstance(rules, DataFrame):
+        last = {host + path: rule for rule in rules for _, host, path in [rule]}
+        rules = spark.createDataFrame(list(last.values()), "verdict string, host string, path string")
+    rules = rules.where("verdict IN ('allow', 'block') AND host IS NOT NULL AND path IS NOT NULL")
+    rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    return rules.select("host", "path", F.concat("host", "path").alias("key"), "verdict")
+
+
+def judge_urls(pages: DataFrame, rules: Sequence[Rule] | DataFrame, url: str = "url") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``.
 
-    Of the rules that fit, the longest (host and path together; then the longer
-    host) wins. A URL without a rule is allowed and its ``rule`` is null; that is
-    also what a null URL or one without ``://`` gets, with host and path empty.
-    Without rules everything is allowed. Repeated rows keep their rows; other
-    columns pass through; input columns with the four names are replaced. The rules
-    are a list in the driver, which bounds the filters; the keys of the corpus are
-    made distinct by a shuffle and never leave the executors.
+    ``rules`` is a list of (verdict, host, path start) or a table with these columns. Of
+    the rules that fit, the longest (host and path together; then the longer host) wins.
+    A URL without a rule is allowed and its ``rule`` is null; that is also what a null
+    URL or one without ``://`` gets, with host and path empty. Without rules everything
+    is allowed; a very long URL is judged whole; without pages the result is empty.
+    Repeated rows keep their rows; other columns pass through; input columns with the
+    four names are replaced. Rules meet the distinct keys of the corpus in a join when
+    the cascade is built; the pages are judged by the cascade alone.
     """
     spark = pages.sparkSession
-    pages = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    pages = pages.withColumns({"host": host_of(named(url)), "path": path_of(named(url))})
     pages = pages.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("host", "path")})
-    if not rules:
+    table = saved(_rule_table(spark, rules), "rules")
+    # numbers of labels and lengths of path that rules have: as many as the longest rule at most
+    labels = F.size(F.split("host", r"\.", -1))
+    sizes = [row[0] for row in table.select(labels).distinct().collect()]
+    lengths = [row[0] for row in table.select(F.length("path")).distinct().collect()]
+    if not sizes:
         return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
-    verdict_of = {host + path: verdict for verdict, host, path in rules}
-    known = _rule_table(spark, verdict_of)
-    corpus = pages.select(F.explode(_keys(F.col("host"), F.col("path"), rules)).alias("key")).distinct()
-    # the keys to tell apart: all of the corpus, marked by whether a rule has them
-    is_rule = F.col("key").isin(list(verdict_of))
-    listed = Cascade.build("listed", known.select("key"), saved(corpus.where(~is_rule), "keys"))
+    found = _keys(F.col("host"), F.col("path"), sorted(sizes), sorted(lengths))
+    corpus = pages.select(F.explode(found).alias("key")).distinct()
+    verdicts = table.groupBy("key").agg(F.max("verdict").alias("verdict"))
+    corpus = saved(corpus.join(verdicts, "key", "left"), "keys")
+    known = corpus.where("verdict IS NOT NULL")
+    listed = Cascade.build("listed", known.select("key"), corpus.where("verdict IS NULL").select("key"))
     blocked = Cascade.build("blocked", *(known.where(F.col("verdict") == v).select("key") for v in ("block", "allow")))
-    hits = F.filter(_keys(F.col("host"), F.col("path"), rules), listed.holds)
+    hits = F.filter(found, listed.holds)
     ranked = F.transform(hits, lambda k: F.struct(F.length(k), F.length(F.substring_index(k, "/", 1)), k.alias("key")))
     pages = pages.withColumn("rule", F.array_max(ranked)["key"])
     block = F.coalesce(blocked.holds(F.col("rule")), F.lit(False)) & F.col("rule").isNotNull()
     return pages.withColumn("verdict", F.when(block, F.lit("block")).otherwise(F.lit("allow")))
 
 
-def _rule_table(spark: SparkSession, verdict_of: dict[str, str]) -> DataFrame:
-    rows = [F.struct(F.lit(k).alias("key"), F.lit(v).alias("verdict")) for k, v in verdict_of.items()]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
 #: Rules of the registered query.
 RULES: list[Rule] = [
     ("allow", "com", "/"),

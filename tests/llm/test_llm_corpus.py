@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
@@ -15,7 +16,7 @@ from awkward import documents, empty, plain  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from check import compare  # noqa: E402
-from reelbook.llm import mixing, quality, sharding, similarity, toxicity  # noqa: E402
+from reelbook.llm import decontaminate, mixing, quality, secrets, sharding, similarity, toxicity  # noqa: E402
 from reelbook.llm.common import words_of  # noqa: E402
 from reelbook.llm.queries import ORACLES, QUERIES  # noqa: E402
 
@@ -315,3 +316,66 @@ def test_pipeline_of_awkward_documents(spark, tmp_path):
         frame.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
         spark.createDataFrame([(1, "one two three")], "item_id long, text string").write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
         assert corpus_pipeline.run(spark, folder).count() <= 2 * frame.count()
+
+
+# what stages hand on
+
+
+def named_awkwardly(spark):
+    """Documents with repeats whose other columns differ, and names that could clash."""
+    body = " ".join(f"word{i}" for i in range(80))
+    texts = [body, body + " more", " ".join(f"other{i}" for i in range(90)), " ".join(f"third{i % 95}" for i in range(100))]
+    data = [(i, t, "en", f"s{i % 2}", len(t), f"x{i}", j) for i, t in enumerate(texts) for j in range(3)]
+    data += [(0, body, "en", "s0", len(body), "x0", 0)] * 2 + [(9, None, None, None, None, None, 1)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, kept long")
+    return frame.selectExpr(
+        "*", "'w' AS __words", "concat('n', kept) AS n_words", "'r' AS row", "'c' AS copies", "'h' AS h", "'p' AS part",
+        "'t' AS taken", "'k' AS k1", "'l' AS `limit``s`", "'z' AS size",
+    )
+
+
+def test_stages_keep_values_of_clashing_columns(spark):
+    docs = named_awkwardly(spark)
+    given = Counter(tuple(r) for r in docs.collect())
+    good = quality.keep_good(docs)
+    assert good.columns == docs.columns
+    assert Counter(tuple(r) for r in good.collect()) == Counter({r: n for r, n in given.items() if r[1]})
+    assert quality.judge(docs).columns == [c for c in docs.columns if c not in quality.ADDED] + list(quality.ADDED)
+    one = similarity.keep_one(docs)
+    rows = [tuple(r) for r in one.collect()]
+    assert one.columns == docs.columns and set(rows) <= set(given) and len(rows) == 4
+    assert plain(similarity.keep_one(docs.repartition(5))) == sorted(rows, key=repr)
+    items = spark.createDataFrame([(1, " ".join(f"other{i}" for i in range(30)))], "item_id long, text string")
+    clean = decontaminate.remove_hits(docs, items)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    assert set(plain(clean.where("doc_id <> 2"))) == {r for r in given if r[0] != 2 and r[0] is not None}
+    sharded = sharding.shard(docs, 3, keep=docs.columns)
+    kept = [c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    assert plain(sharded.select(*(f"`{c.replace('`', '``')}`" for c in kept))) == plain(docs.drop("size"))
+    found = secrets.find_secrets(docs)
+    assert found.count() == docs.count() and "a.b" in found.columns
+
+
+def test_mix_takes_every_version(spark):
+    """Rows that share id and text but differ elsewhere all have their part of the copies."""
+    docs = named_awkwardly(spark)
+    given = Counter(tuple(r) for r in docs.collect())
+    for weights, share in (((1.0,), 1.0), ((5.0, 2.0, 1.0), 1.5), ((1.0, 3.0), 0.4)):
+        mixed = mixing.mix(docs, weights=weights, share=share)
+        assert mixed.columns == docs.columns
+        rows = Counter(tuple(r) for r in mixed.collect())
+        assert set(rows) <= set(given)
+        assert plain(mixing.mix(docs.repartition(7), weights=weights, share=share)) == sorted(rows.elements(), key=repr)
+        copies = {r.doc_id: r.n for r in mixing.plan(docs, weights, share).groupBy("doc_id").agg(F.sum("copies").alias("n")).collect()}
+        per_id = Counter()
+        for row, n in rows.items():
+            per_id[row[0]] += n
+        assert per_id == Counter({i: n for i, n in copies.items() if n})
+        total = Counter()
+        for row, n in given.items():
+            total[row[0]] += n
+        for row, n in given.items():
+            low = n * (copies[row[0]] // total[row[0]])
+            assert low <= rows[row] <= low + n
+    # everything once: nothing is lost
+    assert Counter(tuple(r) for r in mixing.mix(docs.where("text IS NOT NULL"), weights=(1.0,), share=0.5, most=1.0).collect()) <= given

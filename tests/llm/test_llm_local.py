@@ -8,6 +8,7 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
@@ -307,3 +308,26 @@ def test_cascade_is_exact(spark):
     keys = spark.range(0, 40_000).selectExpr("id", "cast(id AS string) AS key")
     got = keys.where(known.holds(keys.key)).agg({"id": "max", "*": "count"}).first()
     assert set(got) == {299, 300}
+
+
+def test_many_rules_as_a_table(spark):
+    """A million rules that no page has, beside some hundred that pages have, against a join."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    host, path = urls.host_of(F.col("url")), urls.path_of(F.col("url"))
+    kind = F.when(F.crc32(F.col("url").cast("binary")) % 2 == 0, "allow").otherwise("block")
+    cut = F.substring(path, 1, 1 + (F.col("page_id") % 7).cast("int"))
+    own = pages.select(kind.alias("verdict"), host.alias("host"), cut.alias("path"))
+    many = spark.range(1_000_000).selectExpr("if(id % 3 = 0, 'allow', 'block') verdict", "concat('h', id, '.example') host",
+                                             "concat('/', id % 50, '/') path")
+    odd = spark.createDataFrame([("block", None, "/"), (None, "com", "/"), ("what", "com", "/")], "verdict string, host string, path string")
+    rules = own.unionByName(many).unionByName(odd)
+    found = urls.judge_urls(pages, rules)
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 200_000
+    keys = rules.where("verdict IN ('allow', 'block') AND host IS NOT NULL").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    split = pages.select("page_id", host.alias("h"), path.alias("p"))
+    ends = F.transform(F.sequence(F.lit(1), F.size(F.split("h", r"\.", -1))), lambda k: F.substring_index("h", ".", -k))
+    each = split.select("*", F.explode(ends).alias("host")).join(keys, "host").where("startswith(p, path)")
+    best = each.groupBy("page_id").agg(F.max(F.struct(F.length(F.concat("host", "path")), F.length("host"), "host", "path", "verdict")).alias("b"))
+    want = {r.page_id: (r.b.host + r.b.path, r.b.verdict) for r in best.collect()}
+    got = {r.page_id: (r.rule, r.verdict) for r in found.collect()}
+    assert len(want) > 200 and got == {i: want.get(i, (None, "allow")) for i in got}
