@@ -25,8 +25,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Words of an item that make a window; a shorter item is one window as a whole.
 WINDOW = 10
-#: Item words in one automaton (about 0.5 KB each). More items make more automata, one pass each.
+#: Item words in one automaton. More items make more automata, one pass each; only the one in the
+#: making has dictionaries (about 0.5 KB a word), a worker holds all of them packed (50 bytes).
 BLOCK_WORDS = 200_000
+#: States whose steps a worker keeps as dictionaries.
+KNOWN_STATES = 100_000
 
 
 @dataclass
@@ -129,32 +132,94 @@ class SuffixAutomaton:
             at = self.link[at]
         return at
 
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        return Scanner(self.packed()).scan(words)
+
+    def packed(self) -> dict:
+        """What a scan needs, as flat arrays: some 50 bytes for each word of the items."""
+        order = [sorted(step.items()) for step in self.step]
+        holders = sorted(self.owners | self.whole)
+        names = sorted(set().union(*self.owners.values(), *self.whole.values()))
+        number = {name: i for i, name in enumerate(names)}
+        lists = [sorted(number[n] for n in self.owners.get(h, set()) | self.whole.get(h, set())) for h in holders]
+        return {
+            "window": self.window,
+            "shortest": self.shortest,
+            "vocabulary": self.vocabulary,
+            "names": names,
+            "firsts": np.cumsum([0, *map(len, order)], dtype=np.int64),
+            "words": np.array([word for step in order for word, _ in step], np.int32),
+            "targets": np.array([there for step in order for _, there in step], np.int32),
+            "length": np.array(self.length, np.int32),
+            "link": np.array(self.link, np.int32),
+            "full": np.array(self.full, np.int32),
+            "short": np.array(self.short, np.int32),
+            "holders": np.array(holders, np.int32),
+            "owned": np.cumsum([0, *map(len, lists)], dtype=np.int64),
+            "owners": np.array([n for owners in lists for n in owners], np.int32),
+            "windows": np.array(sorted(self.owners), np.int32),
+        }
+
+
+class Scanner:
+    """A packed automaton at work; steps of a state are looked up as a dictionary when it is first met."""
+
+    def __init__(self, packed: dict):
+        vars(self).update(packed)
+        self.steps: dict[int, tuple[dict[int, int], int, int, int, int, bool]] = {}
+
+    def _state(self, at: int) -> tuple[dict[int, int], int, int, int, int, bool]:
+        """Steps, link, length, window state, short state, and whether the state is an owned window."""
+        found = self.steps.get(at)
+        if found is None:
+            if len(self.steps) > KNOWN_STATES:
+                self.steps.clear()
+            here = slice(*self.firsts[at : at + 2])
+            step = dict(zip(self.words[here].tolist(), self.targets[here].tolist(), strict=True))
+            place = int(np.searchsorted(self.windows, at))
+            owned = place < self.windows.size and int(self.windows[place]) == at
+            numbers = (int(a[at]) for a in (self.link, self.length, self.full, self.short))
+            found = self.steps[at] = (step, *numbers, owned)
+        return found
+
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Hit stretches of words ``[start, end)``, apart and in order, and the items found."""
         ids = np.array(list(map(self.vocabulary.get, words, [-1] * len(words))), np.int64)
         edge = np.flatnonzero(np.diff(np.r_[False, ids >= 0, False].astype(np.int8)))
         spans: list[tuple[int, int]] = []
-        found: set[str] = set()
+        states: set[int] = set()
         for low, high in edge.reshape(-1, 2).tolist():
             if high - low >= self.shortest:
-                self._scan_run(ids[low:high].tolist(), low, spans, found)
-        return joined(spans), found
+                self._scan_run(ids[low:high].tolist(), low, spans, states)
+        return joined(spans), self._names(states)
+
+    def _names(self, states: set[int]) -> set[str]:
+        """Items of the states met, each state looked up once."""
+        places = np.searchsorted(self.holders, np.array(sorted(states), np.int64))
+        some = [self.owners[self.owned[p] : self.owned[p + 1]] for p in places.tolist()]
+        return {self.names[i] for i in np.unique(np.concatenate(some)).tolist()} if some else set()
 
-    def _scan_run(self, ids: list[int], low: int, spans: list, found: set[str]) -> None:
+    def _scan_run(self, ids: list[int], low: int, spans: list, states: set[int]) -> None:
         at, known = 0, 0
+        here = self._state(0)
         for end, word in enumerate(ids, low + 1):
-            at, known = self._walk(at, known, word)
-            if known >= self.window:
-                window = self.full[at]
-                if window in self.owners:
-                    found |= self.owners[window]
-                    spans.append((end - self.window, end))
-            short = self.short[at] if at else -1
+            while at and word not in here[0]:
+                at = here[1]
+                here = self._state(at)
+                known = here[2]
+            at = here[0].get(word, 0)
+            known = known + 1 if at else 0
+            here = self._state(at)
+            if known >= self.window and here[3] >= 0 and self._state(here[3])[5]:
+                states.add(here[3])
+                spans.append((end - self.window, end))
+            short = here[4] if at else -1
             while short > 0:
-                if self.length[short] <= known:
-                    found |= self.whole[short]
-                    spans.append((end - self.length[short], end))
-                short = self.short[self.link[short]]
+                _, link, size, _, _, _ = self._state(short)
+                if size <= known:
+                    states.add(short)
+                    spans.append((end - size, end))
+                short = self._state(link)[4]
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -181,11 +246,11 @@ def _automata(items: DataFrame, key: str, text: str, block_words: int):
     for row in rows.where("k IS NOT NULL").toLocalIterator():
         words = words_of(row.t)
         if block and size + len(words) > block_words:
-            yield context.broadcast(vars(SuffixAutomaton.of(block)))
+            yield context.broadcast(SuffixAutomaton.of(block).packed())
             block, size = [], 0
         block.append((row.k, words))
         size += len(words)
-    yield context.broadcast(vars(SuffixAutomaton.of(block)))  # without items, one that knows nothing
+    yield context.broadcast(SuffixAutomaton.of(block).packed())  # without items, one that knows nothing
 
 
 def find_hits(
@@ -216,7 +281,7 @@ _TYPE = "n_words:bigint,hits:array<struct<start:bigint,stop:bigint>>,items:array
 
 def _scan(automaton):
     def run(texts: pa.Array, before: pa.Array) -> pa.Array:
-        rows, known = [], SuffixAutomaton(**automaton.value)
+        rows, known = [], Scanner(automaton.value)
         for text, old in zip(texts.cast(pa.binary()).to_pylist(), before.to_pylist(), strict=True):
             words = words_of(text)
             spans, names = known.scan(words)

@@ -3,8 +3,9 @@
 import hashlib
 import random
 import re
-import sys
 import os
+import sys
+import time
 from collections import Counter
 
 import pytest
@@ -56,6 +57,35 @@ def test_tokens_of_odd_texts(vocabulary):
     assert tokens.WordBpe(vocabulary).counts(texts) == want
 
 
+def test_tokens_of_any_characters(vocabulary):
+    """Letters are what the library's own tables say, whatever edition of Unicode they follow."""
+    known = pytest.importorskip("tokenizers").Tokenizer.from_file(vocabulary)
+    draw = random.Random(3)
+    points = [c for c in range(0x2FA20) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(map(chr, draw.choices(points, k=12))) for _ in range(20_000)]
+    texts += ["".join(map(chr, draw.choices(range(0x180), k=15))) for _ in range(10_000)]
+    texts += [chr(c) + "a" + chr(c) for c in points[::7]]
+    want = [len(e.ids) for e in known.encode_batch(texts, add_special_tokens=False)]
+    assert tokens.WordBpe(vocabulary).counts(texts) == want
+
+
+def test_tokens_of_long_words(vocabulary):
+    """Linear in the word: a million letters take about what their merges take."""
+    known = pytest.importorskip("tokenizers").Tokenizer.from_file(vocabulary)
+    bpe, draw = tokens.WordBpe(vocabulary), random.Random(3)
+    size = lambda word: len(known.encode(word, add_special_tokens=False).ids)
+    for letters in ("a", "ab", "abcde", "abcdefghijklmnopqrstuvwxyz", "éß日"):
+        for n in (1, 2, 3, 50, 500, 5000, 20_000):
+            word = "".join(draw.choices(letters, k=n))
+            assert bpe.merged_length(word) == bpe.merged_lengths([word])[0] if n < 500 else True
+            if letters != "éß日":  # a word of the library; the last one is cut into several
+                assert bpe.merged_length(word) == size(word)
+    word = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    started = time.perf_counter()
+    assert bpe.counts([word]) == [size(word)]
+    assert time.perf_counter() - started < 60
+
+
 # decontamination
 
 
@@ -85,6 +115,27 @@ def test_automaton(seed):
         assert ({i for a, b in spans for i in range(a, b)}, names) == hits_by_hand(words, items, window)
 
 
+def test_packed_automata_are_small():
+    """Some fifty bytes a word, so that millions of item words fit a worker."""
+    draw = random.Random(5)
+    items = [(str(i), [b"%d" % draw.randrange(20_000) for _ in range(100)]) for i in range(500)]
+    packed = decontaminate.SuffixAutomaton.of(items).packed()
+    arrays = sum(a.nbytes for a in packed.values() if hasattr(a, "nbytes"))
+    assert arrays < 120 * 50_000
+    names = packed["names"]
+    assert sorted(names) == sorted(name for name, _ in items)
+
+
+def test_many_owners_of_a_window():
+    """Owners are looked up once for each state met, not at every word."""
+    shared = [b"w%d" % i for i in range(12)]
+    scanner = decontaminate.Scanner(decontaminate.SuffixAutomaton.of([(str(i), shared) for i in range(5000)]).packed())
+    started = time.perf_counter()
+    spans, names = scanner.scan(shared * 2000)
+    assert spans == [(0, 24_000)] and len(names) == 5000
+    assert time.perf_counter() - started < 2
+
+
 def benchmark(spark):
     rows = [(1, "one two three"), (2, None), (None, "w1 x1 w2"), (10, " ".join(f"word{i}" for i in range(30, 45))), (3, "!!")]
     return spark.createDataFrame(rows, "item_id long, text string")
@@ -325,7 +376,7 @@ def test_many_rules_as_a_table(spark):
     assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 200_000
     keys = rules.where("verdict IN ('allow', 'block') AND host IS NOT NULL").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     split = pages.select("page_id", host.alias("h"), path.alias("p"))
-    ends = F.transform(F.sequence(F.lit(1), F.size(F.split("h", r"\.", -1))), lambda k: F.substring_index("h", ".", -k))
+    ends = F.expr("transform(sequence(1, size(split(h, '[.]'))), k -> substring_index(h, '.', -k))")
     each = split.select("*", F.explode(ends).alias("host")).join(keys, "host").where("startswith(p, path)")
     best = each.groupBy("page_id").agg(F.max(F.struct(F.length(F.concat("host", "path")), F.length("host"), "host", "path", "verdict")).alias("b"))
     want = {r.page_id: (r.b.host + r.b.path, r.b.verdict) for r in best.collect()}
