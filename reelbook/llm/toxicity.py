@@ -1,7 +1,8 @@
 """Toxic passages by maximum-scoring segments.
 
-A word's score is the lower end of its log-odds of being in a toxic text, smoothed
-by a Dirichlet prior from all labelled texts; every other word costs a little. One
+A word's score is the lower end of its log-odds between toxic and clean texts, both
+multinomials over words under one Dirichlet prior, whose weights follow the counts of
+all labelled texts; every other word costs a little. One
 linear scan of a text finds all its maximal segments. Their scores are compared with
 what the best segment of a clean text of that length reaches by chance (an extreme
 value), and the evidence of all significant ones is added up and calibrated to a
@@ -28,10 +29,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Labelled rows that a model is learned from at most, lowest hash of the id first.
 TRAIN_ROWS = 40_000
-#: Share of the labelled texts that the prior counts as, and standard errors taken off a log-odds.
-PRIOR, CAUTION = 0.015, 1.0
+#: Share of the labelled words that the prior counts as, and standard errors taken off a log-odds.
+PRIOR, CAUTION = 0.05, 2.0
 #: Log-odds that a word needs after that; words that are barely toxic would only add noise.
-LEAST = 2.0
+LEAST = 3.0
 #: Distinct words that a task counts before it hands the counts on.
 COUNTED = 20_000
 #: What a word outside the model costs, in nats.
@@ -108,26 +109,28 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         rest.alias("part"), "toxic", body.cast("binary").alias("text"), F.xxhash64(body).alias("h")
     )
     texts = saved(texts.dropDuplicates(["part", "toxic", "h"]).drop("h"), "labelled")
-    n = {(r.part, r.toxic): r["n"] for r in texts.groupBy("part", (F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
-    half = Model(_word_scores(texts.where("part = 0"), n.get((0, 1), 0), n.get((0, 0), 0)))
-    half = _calibrated(texts.where("part = 2"), half)
-    toxic, clean = (sum(n.get((part, k), 0) for part in (0, 2)) for k in (1, 0))
-    return replace(half, scores=_word_scores(texts, toxic, clean))
+    half = _calibrated(texts.where("part = 2"), Model(word_scores(texts.where("part = 0"))))
+    return replace(half, scores=word_scores(texts))
 
 
 def _remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def _word_scores(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, float]:
-    if not n_toxic or not n_clean:
-        return {}
+def word_scores(texts: DataFrame) -> dict[bytes, float]:
+    """Words with a score, from texts with ``toxic``: every word as often as it stands there.
+
+    With y counts of a word in a class of n words and a prior of a0 words, of which the
+    word has the share a that it has in all texts, its log-odds in the class are
+    ``log((y + a) / (n + a0 - y - a))`` (Monroe, Colaresi and Quinn). Without words in one
+    of the classes no word has a score.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, list[int]] = {}
         for batch in batches:
             for label, text in zip(*batch.columns, strict=True):
-                for word in set(words_of(text.as_py())):
+                for word in words_of(text.as_py()):
                     seen.setdefault(word, [0, 0])[label.as_py()] += 1
                 if len(seen) > COUNTED:
                     yield rows_of(seen)
@@ -140,8 +143,10 @@ def _word_scores(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, fl
 
     label = (F.col("toxic") > 0).cast("int").alias("toxic")
     counts = texts.select(label, "text").mapInArrow(count, "word binary, t long, c long")
-    counts = counts.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    # texts with the word in either class; the prior gives both classes their common share
+    counts = saved(counts.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "words")
+    n_toxic, n_clean = counts.agg(F.sum("t"), F.sum("c")).first()
+    if not n_toxic or not n_clean:
+        return {}
     weight = PRIOR * (n_toxic + n_clean)
     prior = PRIOR * (F.col("t") + F.col("c"))
     t, c = F.col("t") + prior, F.col("c") + prior
@@ -219,8 +224,9 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with a struct ``toxicity``: ``score`` (0 to 1) and significant ``passages`` (word numbers).
 
     Only the text is an input. A null or empty text has no passage and the score of
-    no evidence. Repeated rows score alike; other columns pass through, an input
-    column ``toxicity`` is replaced. One scan, no shuffle.
+    no evidence; a text of any length is scanned whole. Repeated rows score alike; other
+    columns pass through, an input column ``toxicity`` is replaced; without rows the
+    result is empty. One scan, no shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 

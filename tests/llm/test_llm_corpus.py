@@ -1,5 +1,6 @@
 """Operators over the whole corpus, and the pipeline."""
 
+import math
 import os
 import random
 import sys
@@ -379,3 +380,68 @@ def test_mix_takes_every_version(spark):
             assert low <= rows[row] <= low + n
     # everything once: nothing is lost
     assert Counter(tuple(r) for r in mixing.mix(docs.where("text IS NOT NULL"), weights=(1.0,), share=0.5, most=1.0).collect()) <= given
+
+
+# toxicity, by hand
+
+
+def labelled(spark, n=400):
+    """Texts of both classes over few words, some of which one class has more often."""
+    draw = random.Random(8)
+    rows = []
+    for i in range(n):
+        toxic = int(draw.random() < 0.3)
+        words = draw.choices(["plain", "word", "of", "text", "And", "more"], k=draw.randint(0, 40))
+        words += draw.choices(["bad", "worse", "worst"], k=draw.randint(0, 6) if toxic else int(draw.random() < 0.02))
+        draw.shuffle(words)
+        rows.append((i, toxic, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, toxic int, text string")
+    return rows, frame.withColumn("text", F.col("text").cast("binary"))
+
+
+def scores_by_hand(rows):
+    t, c = Counter(), Counter()
+    for _, toxic, text in rows:
+        (t if toxic else c).update(words_of(text.encode()))
+    n_t, n_c = sum(t.values()), sum(c.values())
+    weight, out = toxicity.PRIOR * (n_t + n_c), {}
+    for word in t:
+        a = weight * (t[word] + c[word]) / (n_t + n_c)
+        x, y = t[word] + a, c[word] + a
+        odds = math.log(x / (n_t + weight - x)) - math.log(y / (n_c + weight - y))
+        score = odds - toxicity.CAUTION * math.sqrt(1 / x + 1 / y)
+        if score > toxicity.LEAST:
+            out[word] = score
+    return out
+
+
+def test_log_odds_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST", -50.0)
+    rows, frame = labelled(spark)
+    got, want = toxicity.word_scores(frame), scores_by_hand(rows)
+    assert got.keys() == want.keys() and len(want) >= 9
+    assert all(abs(got[w] - want[w]) < 1e-9 for w in want)
+    assert toxicity.word_scores(frame.where("toxic = 0")) == {} == toxicity.word_scores(frame.where("toxic = 1"))
+    assert toxicity.word_scores(frame.where("false")) == {}
+
+
+def test_calibration_by_hand(spark):
+    rows, frame = labelled(spark)
+    scores = {b"bad": 2.0, b"worse": 3.0, b"worst": 2.5}
+    model = toxicity._calibrated(frame, toxicity.Model(scores))
+    top = lambda words: max((s for *_, s in toxicity.segments(words, scores)), default=0.0)
+    clean = [top(w) - math.log(max(len(w), 1)) for w in (words_of(t.encode()) for _, y, t in rows if not y)]
+    # the mean of an extreme value lies Euler's constant above its mode
+    assert abs(model.log_k - (sum(clean) / len(clean) - toxicity._EULER)) < 1e-9
+    x = np.array([model.evidence(words_of(t.encode()))[0] for *_, t in rows])
+    x = np.round(np.clip(x, toxicity.LOW, toxicity.HIGH) / toxicity.STEP) * toxicity.STEP
+    y = np.array([t for _, t, _ in rows])
+
+    def loss(slope, shift):
+        z = slope * x + shift
+        return np.sum(np.logaddexp(0, z) - y * z) + 0.005 * (slope**2 + shift**2)
+
+    best = loss(model.slope, model.shift)
+    for a in np.linspace(-0.3, 0.3, 13):
+        for b in np.linspace(-0.3, 0.3, 13):
+            assert best <= loss(model.slope + a, model.shift + b) + 1e-6
