@@ -267,7 +267,8 @@ def find_hits(
     A null text has no words; an item that is null, has a null id or no words
     matches nothing; without items nothing is hit. Repeated rows each keep their
     row and extra columns pass through; an input column named ``found`` is
-    replaced. One scan per block of items, no shuffle.
+    replaced. A text of any length is searched whole; without documents the result is
+    empty. One scan per block of items, no shuffle.
     """
     found = F.lit(None).cast(f"struct<{_TYPE}>")
     for automaton in _automata(items, item_key, item_text, block_words):

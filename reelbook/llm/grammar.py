@@ -248,6 +248,7 @@ class TextIds:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -255,7 +256,6 @@ class TextIds:
         self.words: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, "<u4")
-        self.pieces: dict[str, bytes] = {}
         self.letters = 0
 
     def _piece(self, piece: str) -> bytes:
@@ -303,8 +303,10 @@ class TextIds:
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after another, and where each text's end; a null has none."""
-        if len(self.words) > KNOWN_WORDS or self.letters > KNOWN_LETTERS or len(self.pieces) > KNOWN_WORDS:
+        if len(self.words) > KNOWN_WORDS or self.letters > KNOWN_LETTERS:
             self._forget()
+        if len(self.pieces) > KNOWN_WORDS:
+            self.pieces = {}
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False)

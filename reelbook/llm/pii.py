@@ -183,8 +183,8 @@ def find_personal(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Offsets count code points, the stop is exclusive, order is by start and then
     kind. A null or empty text has no spans. Repeated rows keep their rows, other
-    columns pass through, an input column ``personal`` is replaced. Texts are read
-    whole, in one scan without a shuffle.
+    columns pass through, an input column ``personal`` is replaced; without rows the
+    result is empty. Texts of any length are read whole, in one scan without a shuffle.
     """
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -199,18 +199,24 @@ def find_personal(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every span of ``text`` replaced by its kind in angle brackets."""
+    """``docs`` with every span of ``text`` replaced by its kind in angle brackets.
 
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else masked(t) for t in texts.to_pylist()], pa.string())
+    Null, empty and long texts, repeated rows and empty tables as with
+    :func:`find_personal`; other columns pass through whatever they are called.
+    """
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        automaton = anchors()
+        for batch in texts:
+            yield pa.array([None if t is None else masked(t, automaton) for t in batch.to_pylist()], pa.string())
 
-    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(text, F.arrow_udf(run, "string")(F.col(text)))
 
 
-def masked(text: str) -> str:
+def masked(text: str, automaton=None) -> str:
     out, at = [], 0
-    for start, stop, kind in find(text):
+    for start, stop, kind in find(text, automaton or anchors()):
         if start >= at:
             out += [text[at:start], f"<{kind}>"]
             at = stop

@@ -87,8 +87,9 @@ def find_secrets(
 
     Offsets count code points; order is by start and then kind. A null or empty text
     has none; null repositories and owners count as one of each; repeated rows keep
-    their rows and do not raise the counts. Other columns pass through, an input
-    column ``secrets`` is replaced. The texts are read once; what is shuffled are
+    their rows and do not raise the counts. Texts of any length are read whole; without
+    rows the result is empty. Other columns pass through whatever they are called, an
+    input column ``secrets`` is replaced. The texts are read once; what is shuffled are
     candidates, summed up per task first.
     """
     keep = [c for c in docs.columns if c not in (text, "secrets")]

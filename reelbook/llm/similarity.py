@@ -404,7 +404,8 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     connected by links, ``n_links`` the number of other rows with a similarity of 0.8
     or more, copies included. A text without words (null or empty too) is linked to
     nothing and its class is its own id. A null id is left out of the least ids.
-    Repeated rows count as copies. Only ids and texts are read.
+    Repeated rows count as copies; texts of any length are compared whole; without rows
+    the result is empty. Only ids and texts are read, whatever other columns are called.
     """
     body = text_or_empty(text)
     rows = docs.select("doc_id", F.xxhash64(body).alias("t"), body.cast("binary").alias("text"))
