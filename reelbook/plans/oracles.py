@@ -470,6 +470,23 @@ SELECT username, CAST(created AS DATE) AS day, arg_max(follower_count, created)
   count(*) AS scrapes
 FROM page_profile WHERE username <> 'N/A' GROUP BY 1, 2"""
 )
+ORACLES["message_log"] = """
+SELECT concat_ws(':', conv_id, turn, role, md5(text)) AS message, 1717200000 + turn AS seconds FROM conversations"""
+ORACLES["overwrite_audit"] = (
+    _with(_SCRAPE)
+    + """
+SELECT username, arrival, scrape_timestamp, lag(arrival) OVER held AS replaced_arrival,
+  lag(scrape_timestamp) OVER held AS replaced_timestamp
+FROM scrape WINDOW held AS (PARTITION BY username ORDER BY arrival)
+QUALIFY scrape_timestamp < lag(scrape_timestamp) OVER held"""
+)
+ORACLES["batch_counts"] = (
+    _with(_PAGE, _PROFILE, _VIDEO_COUNTS)
+    + """
+SELECT (SELECT count(*) FROM page) AS pages, (SELECT count(*) FROM page_profile) AS profiles,
+  (SELECT CAST(sum(j + h) AS BIGINT) FROM counted) AS videos,
+  (SELECT CAST(coalesce(sum(posts - 2), 0) AS BIGINT) FROM page WHERE shape = 10 AND posts > 2) AS lost_posts"""
+)
 ORACLES["history_state"] = ORACLES["profile_history"]
 ORACLES["catalog_upsert"] = ORACLES["merge_videos"]
 ORACLES["object_arrivals"] = "SELECT md5(html) AS html_md5, length(html) AS chars FROM pages"

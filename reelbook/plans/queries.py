@@ -23,7 +23,9 @@ from reelbook.schemas import (
     VIDEO_URL_BASE,
 )
 from reelbook.session import configure, scratch_dir
-from reelbook.sources import landing, messages, processed
+from reelbook.sources import landing, messagelog, messages, processed
+from reelbook.streaming import audit, counts
+from reelbook.streaming.counts import BatchCounts
 from reelbook.streaming.ingest import CreatorStore, run_latest, start_ingest, start_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -625,6 +627,53 @@ def object_arrivals(spark, sf):
     return taken.select(F.md5(text).alias("html_md5"), F.length(text).cast("bigint").alias("chars"))
 
 
+@query
+def message_log(spark, sf):
+    """Turns of conversations as messages of a log, streamed with a restart in the middle."""
+    log, out, checkpoint = (scratch_dir(spark, name) for name in ("log", "taken", "ckpt"))
+    stream = messages.decode(messagelog.stream_log(spark, log))
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    sent = fx.table(spark, sf, "conversations").select(
+        F.base64(F.concat_ws(":", "conv_id", "turn", "role", F.md5("text")).cast("binary")).alias("data"),
+        F.timestamp_seconds(F.lit(1717200000) + F.col("turn")).alias("publish_time"),
+    )
+    for part in (0, 1):
+        messagelog.append_messages(sent.where(F.crc32("data") % 2 == part), log, 2, first=2 * part)
+        writer.trigger(availableNow=True).start().awaitTermination()  # goes on where it ended
+    return spark.read.parquet(out).select(F.col("url").alias("message"), F.unix_seconds("publish_time").alias("seconds"))
+
+
+@query
+def overwrite_audit(spark, sf):
+    """Scrape log streamed in three arrival stretches: where an older scrape replaced a newer one."""
+    log = fx.scrapes(spark, sf).select("username", "arrival", "scrape_timestamp")
+    source, out = scratch_dir(spark, "scrape-files"), scratch_dir(spark, "audit")
+    third = fx.ARRIVALS // 3 + 1
+    for part in range(3):
+        rows = log.where(F.floor(F.col("arrival") / third) == part)
+        rows.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    writer = audit.overwrites(stream).writeStream.format("parquet").option("path", out).outputMode("append")
+    writer.option("checkpointLocation", scratch_dir(spark, "ckpt")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(audit.OVERWRITES).parquet(out).transform(_wall, "scrape_timestamp", "replaced_timestamp")
+
+
+@query
+def batch_counts(spark, sf):
+    """Counts of each batch of streamed pages, as a listener wrote them, summed up."""
+    listener = BatchCounts(spark, scratch_dir(spark, "counts"))
+    spark.streams.addListener(listener)
+    try:
+        stream = landing.stream_table(spark, fx.landed_path(spark, sf), files_per_batch=3)
+        found = counts.observed(extract.extract_pages(stream))
+        writer = found.writeStream.format("noop").option("checkpointLocation", scratch_dir(spark, "ckpt"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        table = listener.table()
+    finally:
+        spark.streams.removeListener(listener)
+    return table.agg(*[F.sum(name).alias(name) for name in ("pages", "profiles", "videos", "lost_posts")])
+
+
 @query
 def catalog_upsert(spark, sf):
     """Observations of videos in two halves upserted into a catalog table; the last of a video wins."""
@@ -644,6 +693,9 @@ def history_state(spark, sf):
     log = quality.filter_invalid_profiles(
         extract.profile_rows(pages.withColumnRenamed("path", "page_path"), "page_path")
     )
+    path = scratch_dir(spark, "profiles")
+    log.write.parquet(path)  # the pages are read once
+    log = spark.read.schema(log.schema).parquet(path)
     history = FollowerHistory(spark, scratch_dir(spark, "history"))
     for part in (0, 1, 2, 1):
         history.fold(log.where(F.pmod(F.xxhash64("page_path"), F.lit(3)) == part))

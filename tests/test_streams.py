@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from pages import HEAD, detail, info, post, script, tile
-from reelbook import CreatorStore, extract_profiles, latest, scratch_dir, start_ingest, start_landing
+from reelbook import CreatorStore, extract_pages, extract_profiles, latest, scratch_dir, start_ingest, start_landing
 from reelbook.operators import dashboard
 from reelbook.operators.history import FollowerHistory
-from reelbook.operators.quality import filter_invalid_profiles
+from reelbook.operators.quality import extraction_counts, filter_invalid_profiles
 from reelbook.plans import fixtures as fx
-from reelbook.sources import landing, messages, processed
+from reelbook.sources import landing, messagelog, messages, processed
+from reelbook.streaming import audit, counts
 from reelbook.streaming.ingest import run_latest
 
 
@@ -255,6 +256,84 @@ def test_objects_that_are_gone(spark, tmp_path):
     assert landing.named_objects(arrivals.where("false")).count() == 0
 
 
+# --- a message log --------------------------------------------------------------------------
+
+
+def test_message_log_reads_nothing_twice(spark, tmp_path, monkeypatch):
+    log, out, checkpoint = tmp_path / "log", tmp_path / "out", tmp_path / "ckpt"
+    log.mkdir()
+    line = lambda i: json.dumps({"data": f"m{i}", "publish_time": "2024-05-01T10:00:00Z"}) + "\n"
+
+    def run():
+        stream = messagelog.stream_log(spark, str(log))
+        writer = stream.writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(checkpoint))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return sorted((r.data or "") for r in spark.read.parquet(str(out)).collect())
+
+    (log / "0.ndjson").write_text("".join(map(line, range(3))) + line(9)[:20])  # the last line is not whole
+    (log / "1.ndjson").write_text("no json\n[1]\n" + line(4))
+    (log / "notes.txt").write_text(line(7))
+    assert run() == ["", "", "m0", "m1", "m2", "m4"]
+    assert run() == ["", "", "m0", "m1", "m2", "m4"]
+    with (log / "0.ndjson").open("a") as file:
+        file.write(line(9)[20:] + line(10))
+    (log / "2.ndjson").write_text(line(11))
+    assert run() == ["", "", "m0", "m1", "m10", "m11", "m2", "m4", "m9"]
+    places = [(r.partition, r.position) for r in spark.read.parquet(str(out)).collect()]
+    assert len(set(places)) == len(places)
+
+
+def test_stretches_of_a_log(tmp_path, monkeypatch):
+    monkeypatch.setattr(messagelog, "TASK_BYTES", 100)
+    monkeypatch.setattr(messagelog, "LOOK_BYTES", 7)
+    lines = [b"x" * n + b"\n" for n in (10, 90, 5, 300, 20, 20, 0, 99, 100)]
+    (tmp_path / "0.ndjson").write_bytes(b"".join(lines) + b"tail")
+    reader = messagelog.LogReader(str(tmp_path))
+    end = reader.latestOffset()
+    assert end == {"0": sum(map(len, lines))}
+    parts = reader.partitions({}, end)
+    assert parts[0].start == 0 and parts[-1].stop == end["0"] and len(parts) > 1
+    assert all(a.stop == b.start for a, b in zip(parts, parts[1:], strict=False))
+    at = [place for part in parts for *_, place in reader.read(part)]
+    assert at == [sum(map(len, lines[:i])) for i in range(len(lines))]
+    assert reader.partitions(end, end) == []
+    assert messagelog.LogReader(str(tmp_path / "none")).latestOffset() == {}
+
+
+# --- audit and counts -------------------------------------------------------------------------
+
+
+def test_overwrites_over_triggers(spark, tmp_path):
+    log = [("ann", 1, 50), ("ann", 2, 40), ("bob", 3, 1), ("ann", 4, 45), ("ann", 5, 45), ("bob", 6, 0), (None, 7, 1), ("bob", 8, None)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (log[:3], log[3:]):
+        given = spark.createDataFrame(part, "username string, arrival bigint, t bigint")
+        given.selectExpr("username", "arrival", "timestamp_seconds(t) scrape_timestamp").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("username string, arrival bigint, scrape_timestamp timestamp")
+    found = audit.overwrites(stream.option("maxFilesPerTrigger", 1).parquet(source))
+    writer = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ckpt"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(out).selectExpr("username", "arrival", "unix_seconds(scrape_timestamp) t", "replaced_arrival r")
+    assert rows(got) == [("ann", 2, 40, 1), ("bob", 6, 0, 3)]
+
+
+def test_counts_of_every_batch(spark, pages, tmp_path):
+    listener = counts.BatchCounts(spark, str(tmp_path / "counts"))
+    assert listener.table().count() == 0
+    spark.streams.addListener(listener)
+    stream = landing.stream_table(spark, pages, files_per_batch=1)
+    writer = counts.observed(extract_pages(stream)).writeStream.format("noop")
+    writer.option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start().awaitTermination()
+    table = listener.table()
+    spark.streams.removeListener(listener)
+    rows = [r.asDict() for r in table.collect()]
+    assert len(rows) == 4 and len({r["batch_id"] for r in rows}) == 4
+    total = {name: sum(r[name] for r in rows) for name in ("pages", "faults", "profiles", "videos", "lost_posts")}
+    given = landing.read_table(spark, pages)
+    assert total["pages"] == given.count() and total["profiles"] + total["faults"] == total["pages"]
+    assert total["videos"] == extraction_counts(given).agg(F.sum("videos")).first()[0]
+
+
 # --- follower history ---------------------------------------------------------------------
 
 
