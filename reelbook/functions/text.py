@@ -34,6 +34,12 @@ def digits_to_long(text: Column) -> Column:
     return digits_of(text).try_cast("bigint")
 
 
+def grouped_to_long(text: Column) -> Column:
+    """A whole number with underscores between its digits, as in ``1_700_000_000``; else NULL."""
+    grouped = F.rlike(text, F.lit(r"^\s*[+-]?[0-9]+(?:_[0-9]+)+\s*$"))
+    return F.when(grouped, F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+
+
 def url_username(url: Column) -> Column:
     """Text after the last ``@``, or the whole URL."""
     return F.substring_index(url, "@", -1)

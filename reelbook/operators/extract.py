@@ -71,6 +71,7 @@ def _document_fault() -> Column:
     return (
         F.when(c("html").isNull(), "invalid_utf8")
         .when(c("path_username").isNull(), "path_without_folder")
+        .when(jsondoc.is_too_large(c("doc"), c("body")), "document_too_large")
         .when(c("script").isNotNull() & ~c("whole"), "malformed_json")
         .when(c("script").isNotNull() & c("gate").isNull(), "document_kind")
         .when(c("gate") & c("detail").isNull(), "user_detail_kind")

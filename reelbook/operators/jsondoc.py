@@ -18,6 +18,9 @@ from reelbook.schemas import (
     VIDEO_URL_BASE,
 )
 
+#: Bytes below which every document fits a VARIANT (whose parts may take several times the text).
+LARGE_BYTES = 16 << 20
+
 # The constructs of a page, each consumed whole (possessively, so a page of any length is
 # read in one pass without a stack). Blanks and names are those of the markup reader.
 _S = r"[\s\x0B\x1C-\x1F\x85\xA0  -     　]"
@@ -89,6 +92,15 @@ def parse(body: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), body, end))
 
 
+def is_too_large(doc: Column, body: Column) -> Column:
+    """Whether a text that gave no VARIANT is a JSON object all the same: too large for one.
+
+    Only large texts are looked through again, token by token.
+    """
+    large = doc.isNull() & (F.octet_length(body) >= LARGE_BYTES)
+    return F.when(large, F.json_object_keys(body).isNotNull()).otherwise(False)
+
+
 def is_whole(doc: Column, body: Column) -> Column:
     """Whether ``parse(body)`` holds one document and nothing after it."""
     return F.coalesce(
@@ -269,7 +281,10 @@ def readings(rows: Column) -> Column:
             post["desc"].alias("desc"),
             post["createTime"].isNotNull().alias("has_time"),
             vr.text_of(post["createTime"]).alias("time_text"),
-            F.try_variant_get(post["createTime"], "$", "bigint").alias("seconds"),
+            F.coalesce(
+                F.try_variant_get(post["createTime"], "$", "bigint"),
+                tx.grouped_to_long(vr.text_of(post["createTime"])),
+            ).alias("seconds"),
             post["video"].isNotNull().alias("has_video"),
             vr.object_of(post["video"], "cover").alias("video"),
             post["stats"].isNotNull().alias("has_stats"),

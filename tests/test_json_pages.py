@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from pages import HEAD, detail, info, post, script, tile
 from reelbook import extract_pages, extract_profiles, extract_videos, quarantine
@@ -46,6 +47,27 @@ def test_full_profile_and_video(row):
     assert (row.fault, row.video_fault, row.lost_posts) == (None, None, 0)
 
 
+@pytest.mark.page(script(detail(userInfo=info(), posts=[
+    post("1", createTime="1_700_000_000"), post("2", createTime=" +1_7 "), post("3", createTime="1__7"), post("4"),
+])))
+def test_times_with_underscores(row):
+    """Read as whole numbers; a doubled underscore is none, and ends the list."""
+    assert [v.create_time for v in row.videos] == ["2023-11-14T22:13:20", "1970-01-01T00:00:17"]
+    assert row.lost_posts == 2
+
+
+def test_documents_too_large(spark, make_pages):
+    """What no VARIANT holds is left out under its own reason, unless it is malformed as well."""
+    head, rest = script(detail(userInfo=info(nickname="Ann"), posts=[post("10")])).split("{", 1)
+    pages = make_pages({"p/a/1.html": head, "p/b/1.html": head, "p/c/1.html": head})
+    n = F.when(F.col("path") == "p/c/1.html", 4_000_000).otherwise(24_000_000)
+    bulk = F.concat(F.lit('{"bulk":['), F.repeat(F.lit("1,"), n), F.when(F.col("path") == "p/b/1.html", "x").otherwise("0"), F.lit("],"))
+    pages = pages.withColumn("html", F.concat("html", bulk, F.lit(rest))).coalesce(1)
+    found = extract_pages(pages, columns=["fault", "profile"]).collect()
+    rows = {row.path[2]: (row.fault, row.profile and row.profile.actual_name) for row in found}
+    assert rows == {"a": ("document_too_large", None), "b": ("malformed_json", None), "c": (None, "Ann")}
+
+
 @pytest.mark.page(
     script(detail(userInfo=info(nickname=None, bioLink={}), posts=[post("1", desc=None)]))
 )
