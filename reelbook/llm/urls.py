@@ -13,6 +13,7 @@ keys over rules) for each rule that occurs.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -121,8 +122,11 @@ def _rule_table(spark: SparkSession, rules: Sequence[Rule] | DataFrame) -> DataF
     """``host``, ``path``, ``key`` and ``verdict``. Of a list the last verdict for a key counts, of a
     table ``block``; rules without a verdict, a host or a path are left out."""
     if not isinstance(rules, DataFrame):
-        last = {host + path: rule for rule in rules for _, host, path in [rule]}
-        rules = spark.createDataFrame(list(last.values()), "verdict string, host string, path string")
+        last = {host + path: (verdict, host, path) for verdict, host, path in rules}
+        # one text that the JVM reads: no row passes a Python worker
+        text = json.dumps([dict(zip(("verdict", "host", "path"), rule, strict=True)) for rule in last.values()])
+        parsed = F.from_json(F.lit(text), "array<struct<verdict: string, host: string, path: string>>")
+        rules = spark.range(1).select(F.inline(parsed))
     rules = rules.where("verdict IN ('allow', 'block') AND host IS NOT NULL AND path IS NOT NULL")
     rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     return rules.select("host", "path", F.concat("host", "path").alias("key"), "verdict")
