@@ -38,34 +38,45 @@ _OTHER = rf"(?!(?i:id)(?:[/=>]|{_S})){_ATTR}"
 _LAST_ID = rf"{_ID}(?:{_OTHER})*+(?=/?>)"
 _WANTED = rf"<(?i:script){_NAME_END}{_SEP}(?:(?!{_LAST_ID}){_ATTR})*+{_LAST_ID}"
 _CLOSED = rf"</{_S}*+(?i:script){_S}*+>"
+
+
+def _up_to(first: str, rest: str) -> str:
+    """Text up to the next ``first`` that ``rest`` follows. Runs without ``first`` are taken at
+    once: a reluctant ``[\\s\\S]*?`` tries what follows at every letter, at seven times the cost."""
+    return rf"[^{first}]*+(?:{first}(?!{rest})[^{first}]*+)*+"
+
+
+_SCRIPT_TEXT = _up_to("<", rf"/{_S}*+(?i:script){_S}*+>")
+_STYLE_TEXT = _up_to("<", rf"/{_S}*+(?i:style){_S}*+>")
+_COMMENT_TEXT = _up_to("-", rf"-{_S}*+>")
 _TOKENS = (
     r"[^<&]++",
     r"&(?!#)",
     r"&#(?=(?:[0-9]+|[xX][0-9a-fA-F]+)[^0-9a-fA-F])",
     r"<(?![a-zA-Z/!?])",
     r"</[^>]*+>",
-    rf"<!--[\s\S]*?--{_S}*+>",
+    rf"<!--{_COMMENT_TEXT}--{_S}*+>",
     r"<\?[^>]*+>",
     r"<!(?!--|\[)[^>]*+>",
     rf"<!\[(?i:temp|cdata|ignore|include|rcdata)(?![-_.a-zA-Z0-9])[\s\S]*?\]{_S}*+\]{_S}*+>",
     rf"<!\[(?i:if|else|endif)(?![-_.a-zA-Z0-9])[\s\S]*?\]{_S}*+>",
     r"<!\[(?!(?i:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-_.a-zA-Z0-9]))",
     # scripts and styles with their text, other tags, and tags cut short by a stray character
-    rf"(?!{_WANTED})<(?i:script){_NAME_END}{_ATTRS}>[\s\S]*?{_CLOSED}",
-    rf"<(?i:style){_NAME_END}{_ATTRS}>[\s\S]*?</{_S}*+(?i:style){_S}*+>",
+    rf"(?!{_WANTED})<(?i:script){_NAME_END}{_ATTRS}>{_SCRIPT_TEXT}{_CLOSED}",
+    rf"<(?i:style){_NAME_END}{_ATTRS}>{_STYLE_TEXT}</{_S}*+(?i:style){_S}*+>",
     rf"(?!{_WANTED}|<(?i:script|style){_NAME_END}{_ATTRS}>)<{_NAME}{_ATTRS}/?+>",
     rf"<{_NAME}{_ATTRS}(?![>/=a-zA-Z]|\z)",
 )
 # What ends the first pass of the reader: an unknown character reference before some ';', or
 # a construct without an end. Such a construct is text up to the next '>', then and later.
 _OPEN = (
-    rf"(?=<!--(?![\s\S]*?--{_S}*+>)|<!\[(?i:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-_.a-zA-Z0-9])"
+    rf"(?=<!--(?!{_COMMENT_TEXT}--{_S}*+>)|<!\[(?i:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-_.a-zA-Z0-9])"
     rf"|<{_NAME}{_ATTRS}(?=/(?!>)|[=a-zA-Z]|\z))<[^>]*+>"
 )
 _TOKEN = "|".join(_TOKENS)
 _PAGE = (
     rf"\A(?:{_TOKEN})*+(?:(?:&#(?=[^;]*+;)|{_OPEN})(?:{_TOKEN}|{_OPEN})*+)?+"
-    rf"{_WANTED}(?:/>|>([\s\S]*?){_CLOSED})"
+    rf"{_WANTED}(?:/>|>({_SCRIPT_TEXT}){_CLOSED})"
 )
 
 
