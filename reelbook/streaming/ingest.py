@@ -79,7 +79,7 @@ class CreatorStore:
         """
         number = self.number(stream, batch_id)
         path = f"{self.root}/extracted/batch_id={number}"
-        extracted, counts = quality.observed(extract_pages(pages))
+        extracted, counts = quality.observed(extract_pages(landing.spread(pages)))
         extracted.write.mode("overwrite").parquet(path)
         done = self.spark.read.schema(self._extracted).parquet(path)
         origin = done.withColumnsRenamed({"path": "page_path", "time_created": "page_time"})

@@ -14,6 +14,7 @@ from reelbook.operators import dashboard
 from reelbook.operators.history import FollowerHistory
 from reelbook.operators.quality import extraction_counts, filter_invalid_profiles
 from reelbook.plans import fixtures as fx
+from reelbook.plans import queries
 from reelbook.sources import landing, messagelog, messages, processed
 from reelbook.streaming import audit, counts
 from reelbook.streaming.ingest import run_latest
@@ -387,3 +388,39 @@ def test_store_keeps_history_and_catalog(spark, pages):
     with pytest.raises(ValueError):
         CreatorStore(spark, "/nowhere", order="event_time", database="fed")
     spark.sql("DROP DATABASE fed CASCADE")
+
+
+# --- large inputs ---------------------------------------------------------------------------
+
+
+def test_batch_of_one_file_is_dealt_over_cores(spark, tmp_path):
+    html = script(detail(userInfo=info(), posts=[post("1")]))
+    rows = [(f"profiles/p{i}/t.html", html) for i in range(400)]
+    pages = spark.createDataFrame(rows, "path string, html string").selectExpr("*", "timestamp'2024-05-01 10:00:00' AS time_created")
+    pages.coalesce(1).write.parquet(str(tmp_path / "feed"))
+    store = CreatorStore(spark, str(tmp_path / "store"))
+    start_ingest(landing.stream_table(spark, str(tmp_path / "feed")), store, scratch_dir(spark, "ckpt")).awaitTermination()
+    assert len(list((tmp_path / "store" / "extracted" / "batch_id=0").glob("*.parquet"))) > 1
+    assert store.extracted().count() == 400
+
+
+def test_names_are_looked_up_by_few_tasks(spark, tmp_path):
+    paths = [put(tmp_path / "objects", f"profiles/p{i}/t.html", "<p>") for i in range(120)]
+    arrivals = spark.createDataFrame([(path,) for path in paths], "path string").coalesce(1).persist()
+    arrivals.count()
+    context = spark.sparkContext
+    context.setJobGroup("names", "names")
+    found = landing.named_objects(arrivals)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("names") for s in tracker.getJobInfo(job).stageIds]
+    assert max(tracker.getStageInfo(s).numTasks for s in stages) < 120
+    assert found.count() == 120
+    arrivals.unpersist()
+
+
+def test_chain_reads_the_web_once(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(queries, "scratch_dir", lambda s, purpose: asked.append(purpose) or scratch_dir(s, purpose))
+    queries.QUERIES["stream_chain"](spark, SF_DIR).count()
+    assert "web" in asked
