@@ -714,7 +714,9 @@ def stream_chain(spark, sf):
     source = scratch_dir(spark, "messages")
     sent.repartition(2, "data").write.json(source)
     pages = fx.pages(spark, sf).withColumn("username", tx.path_username(F.col("path")))
-    web = latest(pages, "username", ["time_created"]).select("username", "html")
+    last = latest(pages, "username", ["time_created"]).select("username", "html")
+    last.write.parquet(kept := scratch_dir(spark, "web"))  # once, not for each batch of messages
+    web = spark.read.schema(last.schema).parquet(kept)
 
     def fetch(wanted: DataFrame) -> DataFrame:
         named = wanted.withColumn("username", tx.url_username(F.col("url")))
