@@ -83,8 +83,8 @@ def upsert_table(rows: DataFrame, table: str, key: str, order: Sequence[str] | N
     Matched rows take every column, NULL included; others stay; rows with a NULL key are
     refused. With ``order`` the rows are first reduced to the last of each key; without
     it keys must not repeat. Where the catalog has row-level operations this is one
-    ``MERGE``. Else the buckets that the rows touch are merged into a working table and
-    replaced (dynamic partition overwrite): 150 rows rewrite at most 150 buckets. That
+    ``MERGE``. Else the buckets that the rows touch are merged with them and replaced
+    (dynamic partition overwrite): 150 rows rewrite at most 150 buckets. That
     can be repeated after a failure, but readers may see some buckets before others,
     and there may be one writer at a time. A table with neither is refused with
     :class:`MergeUnsupported` before anything is written.
@@ -114,13 +114,17 @@ def upsert_table(rows: DataFrame, table: str, key: str, order: Sequence[str] | N
     if not touched:
         return "buckets"
     old = spark.table(table).where(F.col(BUCKET).isin(touched))
-    merged = merge_upsert(old.drop(BUCKET), update.drop(BUCKET), key).withColumn(BUCKET, _bucket(spark, table, key))
-    merged.write.partitionBy(BUCKET).parquet(f"{path}/merged")
-    done = spark.read.schema(merged.schema).parquet(f"{path}/merged").select(*spark.table(table).columns)
+    if old.isEmpty():
+        done = update  # nothing to merge with: no join and its shuffle
+    else:
+        merged = merge_upsert(old.drop(BUCKET), update.drop(BUCKET), key)
+        done = merged.withColumn(BUCKET, _bucket(spark, table, key))
+    done = done.select(*spark.table(table).columns)
     mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # one task for each bucket, so a bucket is one file
+        # One task for each bucket, so a bucket is one file. Dynamic overwrite writes elsewhere and
+        # moves the files at the end, so the buckets may be read while they are replaced.
         done.repartition(BUCKET).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)

@@ -312,3 +312,16 @@ def test_few_keys_rewrite_few_buckets(spark, frame):
     # 150 keys of a table of 2^31 rows at the standard size of a bucket
     size = LatestTable(spark, path, SCHEMA, "k")._wanted(1 << 31)
     assert size >= 4096 and len(table._touched(many.limit(150), size)) <= 150 < size / 10
+
+
+def test_upsert_writes_rows_and_table_only(spark, frame, monkeypatch, tmp_path):
+    """The merged buckets go into the table at once, without a table in between."""
+    database = "one_writing"
+    processed.create_tables(spark, database, str(tmp_path / "db"), buckets=4)
+    for add, work in ((0, "a"), (20, "b")):
+        monkeypatch.setattr(processed, "scratch_dir", lambda s, purpose, work=work: str(tmp_path / work))
+        rows = videos_of(frame, [(i + add, i + 100 * add) for i in range(40)])
+        processed.upsert_table(rows, f"{database}.videos", "url")
+        assert os.listdir(tmp_path / work) == ["rows"]
+    assert spark.table(f"{database}.videos").count() == 60
+    spark.sql(f"DROP DATABASE {database} CASCADE")
