@@ -87,7 +87,8 @@ def loads_as(value: Column, sql_type: str) -> Column:
     elif sql_type == "boolean":
         fits = F.coalesce(F.lower(text_of(value)).isin(*TRUE_TEXT, *FALSE_TEXT), F.lit(False))
     else:
-        fits = ~kind(value).isin("OBJECT", "ARRAY")
+        # the beginning of the kind: a pattern over it takes longer than reading it
+        fits = ~F.substring(F.schema_of_variant(value), 1, 5).isin("OBJEC", "ARRAY")
     return value.isNull() | F.is_variant_null(value) | fits
 
 

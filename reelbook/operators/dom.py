@@ -10,6 +10,7 @@ selects or reads nodes is a column expression.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -41,16 +42,37 @@ def page_nodes(
     wanted_attrs = None if attrs is None else frozenset(attrs)
     arrow_type = to_arrow_type(_parse_datatype_string(PAGE_TYPE))
 
-    def read(page: str | None) -> dict | None:
-        if page is None:
-            return None
+    def read(page: str) -> dict | None:
         try:
             return NodeReader(wanted_tags, wanted_attrs).read(page)
         except AssertionError:
             return None
 
     def read_batch(pages: pa.Array) -> pa.Array:
-        return pa.array((read(page.as_py()) for page in pages), type=arrow_type)
+        # a column of all nodes of the batch for each of their parts: Arrow takes a flat list
+        # in a fraction of the time of a list of dictionaries
+        texts, ends, nodes = [], [0], []
+        for page in pages.to_pylist():
+            found = None if page is None else read(page)
+            texts.append(found and found["text"])
+            nodes += found["nodes"] if found else ()
+            ends.append(len(nodes))
+        attrs = [attr for node in nodes for attr in node["attrs"]]
+        attr_ends = [0, *accumulate(len(node["attrs"]) for node in nodes)]
+        node_type = arrow_type.field("nodes").type.value_type
+        names, values = (pa.array([attr[k] for attr in attrs], pa.string()) for k in (0, 1))
+        given = pa.MapArray.from_arrays(pa.array(attr_ends, pa.int32()), names, values)
+        columns = {
+            field.name: pa.array([node[field.name] for node in nodes], field.type)
+            for field in node_type
+            if field.name != "attrs"
+        }
+        columns["attrs"] = given.cast(node_type.field("attrs").type)
+        rows = pa.StructArray.from_arrays([columns[field.name] for field in node_type], fields=list(node_type))
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows).cast(arrow_type.field("nodes").type)
+        missing = pa.array([text is None for text in texts], pa.bool_())
+        parts = [pa.array(texts, pa.binary()), listed]
+        return pa.StructArray.from_arrays(parts, fields=list(arrow_type), mask=missing)
 
     read_batch.__annotations__ = {"pages": pa.Array, "return": pa.Array}
     # Marked as not deterministic, so that no filter or size test repeats the reading below it.

@@ -40,7 +40,8 @@ class FollowerHistory:
             return []
         old = read_if_there(self.spark, f"{self.path}/pages", rows.schema).where(F.col("day").isin(days))
         both = old.unionByName(rows).withColumn("page", F.struct("day", "page_path"))
-        pages = latest(both, "page", ["scrape_timestamp", "follower_count", "username"]).drop("page")
+        pages = latest(both, "page", ["scrape_timestamp", "follower_count", "username"], hashed=True)
+        pages = pages.drop("page")
         pages.write.parquet(f"{work}/pages")
         pages = self.spark.read.schema(_PAGES).parquet(f"{work}/pages")
         self._replace(pages, "pages")

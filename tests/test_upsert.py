@@ -325,3 +325,14 @@ def test_upsert_writes_rows_and_table_only(spark, frame, monkeypatch, tmp_path):
         assert os.listdir(tmp_path / work) == ["rows"]
     assert spark.table(f"{database}.videos").count() == 60
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_rows_are_sorted_by_a_hash_of_the_key(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "concat('https://host.example/@user/video/', id % 7) AS url", "id % 5 AS time", "id AS views"
+    ).union(spark.sql("SELECT NULL, 9L, 9L"))
+    found = latest(rows, "url", ["time"], hashed=True)
+    assert sorted(found.collect()) == sorted(latest(rows, "url", ["time"]).collect())
+    assert found.columns == rows.columns
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not plan.split("Sort [", 1)[1].startswith("url")
