@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,10 +86,12 @@ class CreatorStore:
         done = self.spark.read.schema(self._extracted).parquet(path)
         origin = done.withColumnsRenamed({"path": "page_path", "time_created": "page_time"})
         profiles = profile_rows(origin, "page_path", "page_time")
-        self.profiles.append(profiles.withColumn("position", F.lit(0)), number)
         named = origin.withColumn("username", F.nullif("profile.username", F.lit("N/A")))
         videos = video_rows(named, "page_path", "page_time", "username", position=True)
-        self.videos.append(videos, number)
+        _at_once(
+            lambda: self.profiles.append(profiles.withColumn("position", F.lit(0)), number),
+            lambda: self.videos.append(videos, number),
+        )
         if self.database:
             order = ("page_time", "page_path", "position")
             located = profiles.withColumn("position", F.lit(0))
@@ -126,8 +130,7 @@ class CreatorStore:
 
     def publish(self) -> None:
         """Fold the batches so far into new snapshots of both tables."""
-        self.profiles.publish()
-        self.videos.publish()
+        _at_once(self.profiles.publish, self.videos.publish)
 
     def drop_folded(self) -> None:
         """Remove logs and old snapshots of both tables that the newest snapshots replace."""
@@ -135,6 +138,14 @@ class CreatorStore:
         self.videos.drop_folded()
 
 
+def _at_once(*steps: Callable[[], None]) -> None:
+    """Run steps that do not need each other at the same time, so that one's last tasks and
+    planning leave no cores idle. Stopping the stream stops their jobs too."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+            done.result()
+
+
 def _stream_id(batch: DataFrame) -> str:
     """Id of the stream that runs this batch: it lives in the checkpoint, so a restart keeps it
     and a new checkpoint has another."""
