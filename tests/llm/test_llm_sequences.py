@@ -7,6 +7,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -275,3 +276,18 @@ def test_whitening_of_odd_rows(spark):
 
 def test_queries_are_registered():
     assert {"op11_whitening", "op12_periodic_runs", "op13_token_files"} <= set(queries.QUERIES)
+
+
+def test_known_words_stay_in_a_worker_from_task_to_task(spark):
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+
+    def run(batches):
+        known = len(grammar.TextIds.of_worker(path).words)
+        for batch in batches:
+            grammar.TextIds.of_worker(path).batch(batch.column(0))
+        yield pa.RecordBatch.from_arrays([pa.array([known], pa.int64())], names=["known"])
+
+    for _ in range(3):  # the second and third time in workers that have run before
+        words = spark.range(0, 400, 1, 40).selectExpr("concat('word', id) AS w")
+        known = [row.known for row in words.mapInArrow(run, "known long").collect()]
+    assert max(known) > 0
