@@ -82,8 +82,11 @@ def loads_as(value: Column, sql_type: str) -> Column:
         spelled = text_of(value).rlike(r"^[+-]?[0-9]+(\.0+)?$")
         number = F.try_variant_get(value, "$", "double")
         whole = kind(value).isin("DOUBLE", "FLOAT", "DECIMAL") & (number == F.floor(number))
-        in_range = F.try_variant_get(value, "$", "bigint").isNotNull()
-        fits = F.coalesce((spelled | whole) & in_range, F.lit(False))
+        long = F.try_variant_get(value, "$", "bigint")
+        # a number spelled as Spark spells it needs no pattern, which takes longer
+        plain = F.coalesce(text_of(value) == long.cast("string"), F.lit(False))
+        fits = plain | F.coalesce((spelled | whole) & long.isNotNull(), F.lit(False))
+        return value.isNull() | fits | F.is_variant_null(value)
     elif sql_type == "boolean":
         fits = F.coalesce(F.lower(text_of(value)).isin(*TRUE_TEXT, *FALSE_TEXT), F.lit(False))
     else:

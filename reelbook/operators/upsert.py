@@ -129,9 +129,7 @@ class LatestTable:
         size = max(head["size"], self.buckets or self._wanted(sum(head["rows"].values()) + log.count()))
         touched = self._touched(log, size) if size == head["size"] else list(head["places"])
         path = f"{self.path}/snapshot/v={version}"
-        rows = self._merged(head, log, touched, self._schema.fieldNames())
-        # large buckets are spread over several tasks, small ones share one
-        rows = rows.withColumn("bucket", self._bucket(size)).hint("rebalance", "bucket")
+        rows = self._dealt(self._both(head, log, touched, self._schema.fieldNames()), size)
         rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
         written = self.spark.read.schema(T.StructType([*self._schema.fields, T.StructField("bucket", T.IntegerType())]))
         counted = {str(r["bucket"]): r["count"] for r in written.parquet(path).groupBy("bucket").count().collect()}
@@ -185,9 +183,34 @@ class LatestTable:
 
     def _merged(self, head: dict, log: DataFrame, touched: list[str], kept: list[str]) -> DataFrame:
         """The buckets that newer batches touch, with these batches."""
+        return latest(self._both(head, log, touched, kept), self.key, self.order, hashed=True)
+
+    def _both(self, head: dict, log: DataFrame, touched: list[str], kept: list[str]) -> DataFrame:
+        """Rows of some buckets and of newer batches: of each key one for each of them at most."""
         old = self._snapshot(head, touched, kept)
         rows = log.select(*kept)
-        return latest(rows if old is None else old.unionByName(rows), self.key, self.order, hashed=True)
+        return rows if old is None else old.unionByName(rows)
+
+    def _dealt(self, rows: DataFrame, size: int) -> DataFrame:
+        """The last row of each key, with its bucket and in the order of the buckets.
+
+        One shuffle and one sort serve the aggregation and the writer. Rows are not reduced
+        before the shuffle, which would sort them once more and leave nearly all of them: no
+        key has more than a row for each batch. Each bucket has several parts, so that a large
+        one is spread over several tasks; small parts share one.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        part = F.pmod(F.xxhash64(F.lit(0), F.col(self.key)), F.lit(max(2, -(-cores // size))))
+        placed = rows.withColumns({"bucket": self._bucket(size), "part": part.cast("int")})
+        columns = [name for name in rows.columns if name != self.key]
+        packed = F.struct(F.struct(*self.order).alias("order"), F.struct(*columns).alias("row"))
+        merged = (
+            placed.repartition("bucket", "part")
+            .groupBy("bucket", "part", F.xxhash64(self.key).alias("key_hash"), self.key)
+            .agg(F.max(packed).alias("last"))
+        )
+        kept = [F.col(name) if name == self.key else F.col(f"last.row.{name}") for name in rows.columns]
+        return merged.select(*kept, "bucket")
 
     def _wanted(self, rows: int) -> int:
         """The power of two of buckets that keeps them at ``bucket_rows`` rows on average."""

@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from reelbook.functions.markup import NodeReader
 from reelbook.operators import dom
 
 TAGS = ["div", "p", "strong", "span", "h2"]
@@ -44,3 +45,40 @@ def test_random_trees(spark):
     for row in read.collect():
         found = [(n.tag, n.last - n.i, text) for n, text in zip(row.nodes, row.texts)]
         assert found == cases[row.i][1], cases[row.i][0]
+
+
+class _Slow(NodeReader):
+    """Every construct read by HTMLParser."""
+
+    def _usual(self, html):
+        return 0
+
+
+def test_usual_markup_is_read_as_by_html_parser():
+    rng = random.Random(5)
+    parts = [
+        "<p>", "</p>", "<DIV Class=\"a  b\">", "</div>", "<br/>", "<img src=\"x\"/>", "<a href=\"?a=1&amp;b\">", "text ", " \n",
+        "&nbsp;", "&amp", "&#65;", "&lt;", "&", "<!-- c -->", "<!--a--b-->", "<!-->", "<!---->", "<!--->", "<!DOCTYPE html>",
+        "<script>var t='</p>';</script>", "<script id=\"x\"></script>", "<script>a</ script >b</script>", "<script>a<!--b</script>",
+        "<SCRIPT>x</SCRIPT>", "<style>a</style>", "</script>", "<textarea> <b></textarea>", "<a b='c'>", "<a b=c>", "<a  b = \"c\" >",
+        "<a x=\"1\" x=\"2\" y=\"\">", "<x-y>", "</x-y>", "<pre>  </pre>", "<", ">", "</p >", "<![CDATA[x]]>", "<?pi?>", "<b", "é　",
+    ]
+    for _ in range(4000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 12)))
+        for tags, attrs in ((None, None), (frozenset({"a", "div"}), frozenset({"class", "x"}))):
+            try:
+                found = _Slow(tags, attrs).read(page)
+            except AssertionError:
+                continue
+            assert NodeReader(tags, attrs).read(page) == found, page
+
+
+def test_usual_markup_leaves_html_parser_nothing(monkeypatch):
+    left = []
+    monkeypatch.setattr(NodeReader, "feed", lambda self, html: left.append(html))
+    page = (
+        '<!DOCTYPE html><html><head><script>var t=\'</p>\';</script></head><body><!-- <i>no</i> --><h2 data-e2e="x">\nann </h2>'
+        '<a href="https://host.example/@ann"><img src="i.jpg"/></a>&nbsp;<br></body></html>'
+    )
+    assert [node["tag"] for node in NodeReader(None, None).read(page)["nodes"]][:3] == ["html", "head", "script"]
+    assert left == [""]

@@ -336,3 +336,23 @@ def test_rows_are_sorted_by_a_hash_of_the_key(spark, tmp_path):
     assert found.columns == rows.columns
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not plan.split("Sort [", 1)[1].startswith("url")
+
+
+def test_publish_shuffles_and_sorts_once(spark, frame, tmp_path):
+    table = LatestTable(spark, str(tmp_path / "t"), SCHEMA, "k", bucket_rows=20)
+    origin = ["timestamp'2024-01-01' AS page_time", "'p' AS page_path", "0 AS position"]
+    best = {}
+    for batch, count in enumerate((100, 60, 150)):
+        rows_ = [(f"k{n * (batch + 1) % 170}", batch, str(n)) for n in range(count)]
+        last = {row[0]: row for row in rows_}  # one row per key and batch
+        best |= last
+        table.append(frame([*last.values()]).selectExpr("*", *origin), batch)
+        if batch < 2:
+            table.publish()
+    head, log = table._head(), table._log([2])
+    both = table._both(head, log, list(head["places"]), table._schema.fieldNames())
+    plan = table._dealt(both, head["size"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("+- Sort [") == 1
+    table.publish()
+    assert rows(table.current()) == sorted(best.values())
+    assert sum(table._head()["rows"].values()) == len(best)
