@@ -47,6 +47,12 @@ def kind(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
+def is_plain(value: Column, sql_type: str) -> Column:
+    """Whether a value is of just this kind: a test that takes a fraction of reading the value,
+    for which Spark builds a cast each time. False if missing."""
+    return F.coalesce(F.schema_of_variant(value) == sql_type, F.lit(False))
+
+
 def truthy(value: Column) -> Column:
     """False for missing, null, false, zero, empty text, empty array and empty object."""
     text = text_of(value)
@@ -66,7 +72,8 @@ def typed(value: Column, sql_type: str) -> Column:
     """Value as the column type of a target table; NULL if it does not load."""
     if sql_type == "boolean":
         text = F.lower(text_of(value))
-        return F.when(text.isin(*TRUE_TEXT), F.lit(True)).when(
+        plain = F.when(is_plain(value, "BOOLEAN"), F.try_variant_get(value, "$", "boolean"))
+        return plain.when(text.isin(*TRUE_TEXT), F.lit(True)).when(
             text.isin(*FALSE_TEXT), F.lit(False)
         )
     return F.try_variant_get(value, "$", sql_type)
@@ -82,17 +89,15 @@ def loads_as(value: Column, sql_type: str) -> Column:
         spelled = text_of(value).rlike(r"^[+-]?[0-9]+(\.0+)?$")
         number = F.try_variant_get(value, "$", "double")
         whole = kind(value).isin("DOUBLE", "FLOAT", "DECIMAL") & (number == F.floor(number))
-        long = F.try_variant_get(value, "$", "bigint")
-        # a number spelled as Spark spells it needs no pattern, which takes longer
-        plain = F.coalesce(text_of(value) == long.cast("string"), F.lit(False))
-        fits = plain | F.coalesce((spelled | whole) & long.isNotNull(), F.lit(False))
-        return value.isNull() | fits | F.is_variant_null(value)
+        in_range = F.try_variant_get(value, "$", "bigint").isNotNull()
+        fits = is_plain(value, "BIGINT") | F.coalesce((spelled | whole) & in_range, F.lit(False))
     elif sql_type == "boolean":
-        fits = F.coalesce(F.lower(text_of(value)).isin(*TRUE_TEXT, *FALSE_TEXT), F.lit(False))
+        spelled = F.coalesce(F.lower(text_of(value)).isin(*TRUE_TEXT, *FALSE_TEXT), F.lit(False))
+        fits = is_plain(value, "BOOLEAN") | spelled
     else:
         # the beginning of the kind: a pattern over it takes longer than reading it
         fits = ~F.substring(F.schema_of_variant(value), 1, 5).isin("OBJEC", "ARRAY")
-    return value.isNull() | F.is_variant_null(value) | fits
+    return value.isNull() | fits | F.is_variant_null(value)
 
 
 # Spellings a boolean column accepts.

@@ -287,11 +287,14 @@ def readings(rows: Column) -> Column:
     def read(post: Column) -> Column:
         return F.struct(
             post.isNull().alias("no_post"),
-            vr.truthy(post["id"]).alias("has_id"),
+            F.when(vr.is_plain(post["id"], "STRING"), vr.text_of(post["id"]) != "")
+            .otherwise(vr.truthy(post["id"]))
+            .alias("has_id"),
             vr.text_of(post["id"]).alias("id"),
             post["desc"].alias("desc"),
             post["createTime"].isNotNull().alias("has_time"),
-            vr.text_of(post["createTime"]).alias("time_text"),
+            # the text of a number is not asked for
+            F.when(~vr.is_plain(post["createTime"], "BIGINT"), vr.text_of(post["createTime"])).alias("time_text"),
             F.coalesce(
                 F.try_variant_get(post["createTime"], "$", "bigint"),
                 tx.grouped_to_long(vr.text_of(post["createTime"])),

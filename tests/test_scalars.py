@@ -144,6 +144,15 @@ def test_loading_values(spark, json, sql_type, loads, value):
         assert one(spark, vr.typed(doc, sql_type), j=json) == value
 
 
+def test_plain_values(spark):
+    doc = F.parse_json(F.col("j"))
+    cases = {"12": "BIGINT", "-9223372036854775808": "BIGINT", '"12"': "STRING", '""': "STRING", "true": "BOOLEAN"}
+    for kind in ("BIGINT", "STRING", "BOOLEAN"):
+        for json in (*cases, "9223372036854775808", "1.0", "1e3", "null", "{}", "[1]"):
+            assert one(spark, vr.is_plain(doc, kind), j=json) is (cases.get(json) == kind)
+        assert one(spark, vr.is_plain(F.try_variant_get(doc, "$.a", "variant"), kind), j="{}") is False
+
+
 def test_missing_is_not_null(spark):
     doc = vr.object_of(F.parse_json(F.col("j")), "a", "b")
     given, missing = (
