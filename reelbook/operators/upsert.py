@@ -112,21 +112,27 @@ class LatestTable:
         batch = latest(rows.select(*self._stored, *ORIGIN), self.key, ORIGIN, hashed=True)
         batch.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
-    def publish(self) -> None:
+    def publish(self, share: float = 0) -> None:
         """Fold the newer batches into a new snapshot and make it the one that is read.
 
-        Without newer batches nothing is written. Of two callers at once, the one
+        Without newer batches nothing is written, and none are folded while they hold fewer
+        rows than this ``share`` of the snapshot: a table published again and again with a
+        share of 1 is rewritten each time it doubles, so that all snapshots together hold
+        some twice its rows, however many batches it came in. Of two callers at once, the one
         with the higher version decides; what the other folded is folded again.
         """
         head = self._head()
         newer = self._newer(head)
         if not newer:
             return
+        log, held = self._log(newer), sum(head["rows"].values())
+        added = log.count()
+        if added < share * held:
+            return
         version = 1 + max([head["version"], *map(int, self._store.names("versions"))])
         while not self._store.claim(f"versions/{version}"):
             version += 1
-        log = self._log(newer)
-        size = max(head["size"], self.buckets or self._wanted(sum(head["rows"].values()) + log.count()))
+        size = max(head["size"], self.buckets or self._wanted(held + added))
         touched = self._touched(log, size) if size == head["size"] else list(head["places"])
         path = f"{self.path}/snapshot/v={version}"
         rows = self._dealt(self._both(head, log, touched, self._schema.fieldNames()), size)

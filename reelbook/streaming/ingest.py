@@ -128,9 +128,10 @@ class CreatorStore:
         """Pages and videos left out so far."""
         return quality.quarantine_rows(self.extracted())
 
-    def publish(self) -> None:
-        """Fold the batches so far into new snapshots of both tables."""
-        _at_once(self.profiles.publish, self.videos.publish)
+    def publish(self, share: float = 0) -> None:
+        """Fold the batches so far into new snapshots of both tables, of a table only if they
+        hold at least this ``share`` of its snapshot's rows."""
+        _at_once(lambda: self.profiles.publish(share), lambda: self.videos.publish(share))
 
     def drop_folded(self) -> None:
         """Remove logs and old snapshots of both tables that the newest snapshots replace."""
@@ -158,6 +159,7 @@ def start_ingest(
     checkpoint: str,
     available_now: bool = True,
     publish_every: int | None = None,
+    publish_share: float = 1,
     read: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Feed a stream of pages into a store, one batch per trigger.
@@ -167,15 +169,17 @@ def start_ingest(
 
     The stream's id and the batch number name what a batch writes, so a batch that
     is run again after a failure replaces what it wrote before, and streams do not
-    get in each other's way. Every ``publish_every`` batches the tables fold their
-    logs into new snapshots.
+    get in each other's way. Every ``publish_every`` batches a table folds its log into
+    a new snapshot if that holds at least ``publish_share`` of the last snapshot's rows:
+    else a stream of many batches would rewrite its tables as often. What is not folded
+    yet is merged when it is read; with a share of 0 all is folded each time.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = store.take(read(batch) if read else batch, batch_id, _stream_id(batch))
         logger.info("batch %s: %s", batch_id, counts)
         if publish_every and (batch_id + 1) % publish_every == 0:
-            store.publish()
+            store.publish(publish_share)
 
     writer = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()

@@ -55,6 +55,23 @@ def test_stream_equals_batch(spark, pages, batch_store):
     assert store.extracted().count() == batch_store.extracted().count()
 
 
+def test_stream_rewrites_its_tables_as_they_double(spark, pages, batch_store):
+    """Snapshots of a stream of many batches hold some twice its rows, not as many times as it has batches."""
+    folder = scratch_dir(spark, "feed")
+    landing.read_table(spark, pages).repartition(8, "path").write.parquet(folder)
+    store = CreatorStore(spark, scratch_dir(spark, "store"), order="event_time")
+    stream = landing.stream_table(spark, folder, files_per_batch=1)
+    start_ingest(stream, store, scratch_dir(spark, "ckpt"), publish_every=1).awaitTermination()
+    assert store.extracted().select("batch_id").distinct().count() == 8
+    for name in ("profiles", "videos"):
+        table, theirs = getattr(store, name), rows(getattr(batch_store, name).current())
+        assert rows(table.current()) == theirs  # with batches that are not folded yet
+        written = sum(spark.read.parquet(f"{table.path}/snapshot/{v}").count() for v in table._store.names("snapshot"))
+        assert 0 < written < 2.5 * len(theirs)
+        table.publish()
+        assert not table._newer(table._head()) and rows(table.current()) == theirs
+
+
 def test_repeated_batch(spark, pages, batch_store):
     before = rows(batch_store.profiles.current())
     counts = batch_store.take(landing.read_table(spark, pages), 0)
