@@ -9,6 +9,7 @@ selects or reads nodes is a column expression.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable
 from itertools import accumulate
 
@@ -52,11 +53,18 @@ def page_nodes(
         # a column of all nodes of the batch for each of their parts: Arrow takes a flat list
         # in a fraction of the time of a list of dictionaries
         texts, ends, nodes = [], [0], []
-        for page in pages.to_pylist():
-            found = None if page is None else read(page)
-            texts.append(found and found["text"])
-            nodes += found["nodes"] if found else ()
-            ends.append(len(nodes))
+        # the nodes of a batch are many objects without cycles: the collector would walk them in vain
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            for page in pages.to_pylist():
+                found = None if page is None else read(page)
+                texts.append(found and found["text"])
+                nodes += found["nodes"] if found else ()
+                ends.append(len(nodes))
+        finally:
+            if collects:
+                gc.enable()
         attrs = [attr for node in nodes for attr in node["attrs"]]
         attr_ends = [0, *accumulate(len(node["attrs"]) for node in nodes)]
         node_type = arrow_type.field("nodes").type.value_type
@@ -156,46 +164,52 @@ def marked_nodes(page: Column) -> Column:
     return F.filter(page["nodes"], lambda node: attr(node, "data-e2e").isNotNull())
 
 
+_COUNTS = ("following", "followers", "likes")
+
+
 def profile_steps(page: Column, marked: Column) -> Column:
     """Raw parts of a profile, and the number of the first step that fails (0 if none).
 
     Steps run in field order, and a failing step leaves it and all later fields
     at their defaults: a count without digits (1 to 3), a link without href (4),
-    a picture without src (5).
+    a picture without src (5). Each node is searched for once, and each text read once.
     """
     text = lambda node: node_text(page, node)
-    stats = find_all(marked, where("strong", data_e2e="user-stats"))
-    counts = [F.get(stats, F.lit(k)) for k in range(3)]
-    digits = [tx.digits_of(text(node)) for node in counts]
-    name = find_first(marked, where("h2", data_e2e="user-subtitle"))
-    title = find_first(marked, where("h1", data_e2e="user-title"))
-    bio = find_first(marked, where("h2", data_e2e="user-bio"))
-    link = find_first(marked, where("a", data_e2e="user-link"))
-    picture = find_first(marked, where("img", data_e2e="user-avatar"))
-    badge = find_first(marked, where("svg", data_e2e="verify-badge"))
-    failed = None
-    for step, bad in enumerate(
-        [
-            *[digit == "" for digit in digits],
-            link.isNotNull() & attr(link, "href").isNull(),
-            picture.isNotNull() & attr(picture, "src").isNull(),
-        ],
-        start=1,
-    ):
-        failed = F.when(bad, step) if failed is None else failed.when(bad, step)
-    return F.struct(
-        text(name).alias("username"),
-        text(title).alias("actual_name"),
-        digits[0].alias("following"),
-        digits[1].alias("followers"),
-        digits[2].alias("likes"),
-        text(bio).alias("bio"),
-        attr(link, "href").alias("link"),
-        attr(picture, "src").alias("picture"),
-        badge.isNotNull().alias("verified"),
-        failed.otherwise(0).alias("failed"),
+    found = F.struct(
+        find_all(marked, where("strong", data_e2e="user-stats")).alias("counts"),
+        find_first(marked, where("h2", data_e2e="user-subtitle")).alias("name"),
+        find_first(marked, where("h1", data_e2e="user-title")).alias("title"),
+        find_first(marked, where("h2", data_e2e="user-bio")).alias("bio"),
+        find_first(marked, where("a", data_e2e="user-link")).alias("link"),
+        find_first(marked, where("img", data_e2e="user-avatar")).alias("picture"),
+        find_first(marked, where("svg", data_e2e="verify-badge")).alias("badge"),
     )
 
+    def read(found: Column) -> Column:
+        link, picture = found["link"], found["picture"]
+        counts = {name: F.get(found["counts"], F.lit(k)) for k, name in enumerate(_COUNTS)}
+        return F.struct(
+            text(found["name"]).alias("username"),
+            text(found["title"]).alias("actual_name"),
+            *[tx.digits_of(text(node)).alias(name) for name, node in counts.items()],
+            text(found["bio"]).alias("bio"),
+            attr(link, "href").alias("link"),
+            attr(picture, "src").alias("picture"),
+            found["badge"].isNotNull().alias("verified"),
+            (link.isNotNull() & attr(link, "href").isNull()).alias("no_href"),
+            (picture.isNotNull() & attr(picture, "src").isNull()).alias("no_src"),
+        )
+
+    def judged(parts: Column) -> Column:
+        failed = None
+        bad = [*[parts[name] == "" for name in _COUNTS], parts["no_href"], parts["no_src"]]
+        for step, fails in enumerate(bad, start=1):
+            failed = F.when(fails, step) if failed is None else failed.when(fails, step)
+        given = ("username", "actual_name", *_COUNTS, "bio", "link", "picture", "verified")
+        return F.struct(*[parts[name].alias(name) for name in given], failed.otherwise(0).alias("failed"))
+
+    return vr.let(found, lambda found: vr.let(read(found), judged))
+
 
 def profile(steps: Column) -> Column:
     """The 11 profile fields from :func:`profile_steps`."""
@@ -225,7 +239,7 @@ def profile(steps: Column) -> Column:
 def profile_loads(steps: Column) -> Column:
     """Whether the counts that are read fit 64 bits."""
     fits = F.lit(True)
-    for step, name in enumerate(("following", "followers", "likes"), start=1):
+    for step, name in enumerate(_COUNTS, start=1):
         digits = F.coalesce(steps[name], F.lit(""))
         read = (steps["failed"] == 0) | (steps["failed"] > step)
         fits = fits & (~read | (digits == "") | digits.try_cast("bigint").isNotNull())

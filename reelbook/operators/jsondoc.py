@@ -138,6 +138,9 @@ def gate(doc: Column) -> Column:
 
     NULL means that the test itself is an error: a document or scope that is
     null, a number or a boolean, or one that holds the key as text.
+
+    A VARIANT that is handed on is copied, so a user detail that is an object, as it
+    nearly always is, is told by itself; others are looked up key by key.
     """
 
     def has_key(container: Column, key: str) -> Column:
@@ -156,7 +159,8 @@ def gate(doc: Column) -> Column:
 
     root = F.try_variant_get(doc, "$[0]", "variant")
     scope = member(doc, SCOPE_KEY)
-    return F.when(has_key(root, SCOPE_KEY), has_key(scope, DETAIL_KEY)).otherwise(
+    found = vr.object_of(doc, "_", path=_path(SCOPE_KEY, DETAIL_KEY)).isNotNull()
+    return F.when(found, F.lit(True)).when(has_key(root, SCOPE_KEY), has_key(scope, DETAIL_KEY)).otherwise(
         has_key(root, SCOPE_KEY)
     )
 

@@ -191,3 +191,13 @@ def test_containers(row, html, urls):
 @pytest.mark.page(HEAD + tile(views="9" * 20))
 def test_video_count_too_large(row):
     assert (row.profile.username, row.videos, row.video_fault) == ("ann", None, "video_value_kind")
+
+
+def test_each_part_of_a_profile_is_searched_for_once(spark):
+    """A node used in several places, none of them always needed, is otherwise looked for in each."""
+    frame = spark.createDataFrame([(HEAD,)], "html string").select(dom.creator_nodes(F.col("html")).alias("page"))
+    marked = frame.withColumn("marked", dom.marked_nodes(F.col("page"))).select("marked", "page")
+    steps = marked.select(F.when(F.rand() >= 0, dom.profile_steps(F.col("page"), F.col("marked"))).alias("steps"))
+    plan = steps._jdf.queryExecution().analyzed().toString()
+    assert plan.split("\n", 1)[0].count("filter(") == 7
+    assert steps.first().steps.username
